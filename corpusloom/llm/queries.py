@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from corpusloom.llm.anchored_pii import pii_spans
+from corpusloom.llm.byte_bpe import encode_documents
 from corpusloom.llm.common import documents
 from corpusloom.llm.compression_bands import quality_rules
+from corpusloom.llm.simhash import simhash_groups
+
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
 def op3_compression_bands(spark, sf_dir):
@@ -15,5 +21,13 @@ def op4_anchored_pii(spark, sf_dir):
     return pii_spans(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_compression_bands, op4_anchored_pii)}
+def op8_simhash(spark, sf_dir):
+    return simhash_groups(documents(spark, sf_dir))
+
+
+def op10_byte_bpe(spark, sf_dir):
+    return encode_documents(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
+
+
+QUERIES = {f.__name__: f for f in (op3_compression_bands, op4_anchored_pii, op8_simhash, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
