@@ -9,8 +9,11 @@ from corpusloom.llm.byte_bpe import encode_documents
 from corpusloom.llm.common import documents
 from corpusloom.llm.compression_bands import quality_rules
 from corpusloom.llm.simhash import simhash_groups
+from corpusloom.llm.token_files import token_files
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
+END_ID = 2
 
 
 def op3_compression_bands(spark, sf_dir):
@@ -21,6 +24,10 @@ def op4_anchored_pii(spark, sf_dir):
     return pii_spans(documents(spark, sf_dir))
 
 
+def op7_token_files(spark, sf_dir):
+    return token_files(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), END_ID)
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_groups(documents(spark, sf_dir))
 
@@ -29,5 +36,5 @@ def op10_byte_bpe(spark, sf_dir):
     return encode_documents(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_compression_bands, op4_anchored_pii, op8_simhash, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_compression_bands, op4_anchored_pii, op7_token_files, op8_simhash, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
