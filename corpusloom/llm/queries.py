@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from corpusloom.llm.anchored_pii import pii_spans
 from corpusloom.llm.byte_bpe import encode_documents
 from corpusloom.llm.common import documents
 from corpusloom.llm.compression_bands import quality_rules
+from corpusloom.llm.dictionary_quality import score_documents, train
+from corpusloom.llm.minhash import fingerprint_edits
 from corpusloom.llm.simhash import simhash_groups
 from corpusloom.llm.token_files import token_files
 
@@ -16,6 +19,13 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 
 
+def op2_dictionary_quality(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    scored = score_documents(docs, train(docs, labels, fold != 0), threshold=0.3)
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_compression_bands(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir))
 
@@ -24,6 +34,10 @@ def op4_anchored_pii(spark, sf_dir):
     return pii_spans(documents(spark, sf_dir))
 
 
+def op5_minhash(spark, sf_dir):
+    return fingerprint_edits(documents(spark, sf_dir))
+
+
 def op7_token_files(spark, sf_dir):
     return token_files(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), END_ID)
 
@@ -36,5 +50,5 @@ def op10_byte_bpe(spark, sf_dir):
     return encode_documents(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_compression_bands, op4_anchored_pii, op7_token_files, op8_simhash, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_dictionary_quality, op3_compression_bands, op4_anchored_pii, op5_minhash, op7_token_files, op8_simhash, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
