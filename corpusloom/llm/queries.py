@@ -12,6 +12,7 @@ from corpusloom.llm.compression_bands import quality_rules
 from corpusloom.llm.dictionary_quality import score_documents, train
 from corpusloom.llm.minhash import fingerprint_edits
 from corpusloom.llm.simhash import simhash_groups
+from corpusloom.llm.substring_dedup import remove_repeats
 from corpusloom.llm.token_files import token_files
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -19,6 +20,10 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 
 
+def op1_substring_dedup(spark, sf_dir):
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op2_dictionary_quality(spark, sf_dir):
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
@@ -50,5 +55,5 @@ def op10_byte_bpe(spark, sf_dir):
     return encode_documents(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_dictionary_quality, op3_compression_bands, op4_anchored_pii, op5_minhash, op7_token_files, op8_simhash, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_dictionary_quality, op3_compression_bands, op4_anchored_pii, op5_minhash, op7_token_files, op8_simhash, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
