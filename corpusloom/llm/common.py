@@ -43,14 +43,14 @@ def map_columns(df: DataFrame, columns: Sequence[str], schema: str, fn: Callable
     return map_batches(df, columns, schema, lambda lists: (fn(*x) for x in lists))
 
 
-def map_batches(df: DataFrame, columns: Sequence[str], schema: str, fn: Callable) -> DataFrame:
-    """Apply ``fn`` to the iterator of a partition's batches; it yields dicts of lists or arrays."""
+def map_batches(df: DataFrame, columns: Sequence[str], schema: str, fn: Callable, as_lists: bool = True) -> DataFrame:
+    """Apply ``fn`` to the iterator of a partition's batches (lists, or Arrow arrays); it yields dicts of lists or arrays."""
     names = list(columns)
     kinds = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(kinds)
 
     def run(batches):
-        lists = ([b.column(n).to_pylist() for n in names] for b in batches)
+        lists = ([b.column(n).to_pylist() if as_lists else b.column(n) for n in names] for b in batches)
         for out in fn(lists):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 

@@ -21,12 +21,15 @@ gives no file and an empty result. A text's ids are held whole; a file is writte
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,33 +149,65 @@ def open_fs(uri: str):
     return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri.removeprefix('file:')}")
 
 
+#: Stands between words that go to the library together; a word that has it goes by itself.
+MARK = "\x01"
+
+
 class WordTokenizer:
-    """The ids of a ``tokenizers`` model whose white space only separates: words between blanks are encoded once and memoised.
+    """The ids of a ``tokenizers`` model that lower-cases and drops white space.
 
-    Blanks and line feeds must neither reach the model nor change what is beside them, as in models that
-    collapse and drop white space; ``tests/llm`` holds this against encoding whole texts. Special tokens are ordinary text.
+    In such a model words between blanks don't influence each other. Arrow splits a batch of texts into words and
+    numbers the different ones; the library encodes those that the memo lacks, many in a call with a mark between
+    them; NumPy puts the texts' ids together. ``tests/llm`` holds this against encoding whole texts. Special tokens are
+    ordinary text. The memo is emptied when it is full.
     """
 
-    def __init__(self, path: str, memo_words: int = 400_000):
+    def __init__(self, path: str, memo_words: int = 600_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism here
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.memo_words = memo_words
-        self.memo: dict[str, bytes] = {"": b""}
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        self.memo: dict[str, bytes] = {}
+        mark = self.model.encode(MARK, add_special_tokens=False).ids
+        if len(mark) != 1:
+            raise ValueError("the model has no single id for the mark between words")
+        self.mark = mark[0]
+
+    def _learn(self, new: list[str]) -> None:
+        for k in range(0, len(new), 4096):
+            part = new[k : k + 4096]
+            apart = [w for w in part if MARK in w]
+            part = [w for w in part if MARK not in w]
+            ids = np.asarray(self.model.encode_batch_fast([f" {MARK} ".join([*part, ""])], add_special_tokens=False)[0].ids, "<u4")
+            data, at = ids.tobytes(), 0
+            for w, e in zip(part, (np.flatnonzero(ids == self.mark) * 4).tolist()):
+                self.memo[w] = data[at:e]
+                at = e + 4
+            for w in apart:
+                self.memo[w] = np.asarray(self.model.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and where each text's begin (and the last one's end) among them. No text is null."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
         if len(self.memo) > self.memo_words:
-            self.memo = {"": b""}
+            self.memo = {}
         memo = self.memo
-        new = list({w for words in split for w in words if w not in memo})
-        for k in range(0, len(new), 8192):
-            part = new[k : k + 8192]
-            for w, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                memo[w] = np.asarray(e.ids, "<u4").tobytes()
-        return [b"".join(map(memo.__getitem__, words)) for words in split]
+        self._learn([w for w in words if w not in memo])
+        parts = [memo[w] for w in words]
+        table = np.frombuffer(b"".join(parts), "<u4")
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        start = np.cumsum(size) - size
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        n = size[index]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = table[np.repeat(start[index] - (ends - n), n) + np.arange(total)]
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        return ids, np.concatenate([[0], ends])[offsets]
 
 
 @lru_cache(maxsize=2)
@@ -185,29 +220,30 @@ def _range_parts(docs: DataFrame) -> int:
     return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", texts_a_batch: int = 512) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", texts_a_batch: int = 4096) -> DataFrame:
     """Write one file per range of ids under ``folder``; returns (part, file, n_ids, n_docs), one row per file that has documents."""
     ordered = (
         docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text_col).alias("text"))
-        .repartitionByRange(_range_parts(docs), F.col("id").asc_nulls_first(), "text")
+        .repartitionByRange(_range_parts(docs), F.col("id").asc_nulls_first())
         .sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
         .withColumn("part", F.spark_partition_id())
     )
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         tok = load(tokenizer_path)
         fs, root = open_fs(folder)
         writer, out = None, None
+        end = np.array([end_id], "<u4")
         for ids, texts, parts in batches:
-            if writer is None and ids:
-                part = parts[0]
+            if writer is None and len(ids):
+                part = parts[0].as_py()
                 draft = f"{root}/.part-{part:06d}-{uuid.uuid4().hex}"
                 out = fs.open_output_stream(draft)
                 writer = FileWriter(out)
             for k in range(0, len(ids), texts_a_batch):
-                for i, x in zip(ids[k : k + texts_a_batch], tok.encode_batch(texts[k : k + texts_a_batch])):
-                    writer.add(i, np.frombuffer(x + end, "<u4"))
+                tokens, at = tok.encode(texts.slice(k, texts_a_batch))
+                for i, a, b in zip(ids.slice(k, texts_a_batch).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    writer.add(i, np.concatenate([tokens[a:b], end]))
         if writer:
             writer.close()
             out.close()
@@ -218,7 +254,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     _, root = open_fs(folder)
     open_fs(folder)[0].create_dir(root, recursive=True)
     # the action that runs the writers; the rows are one per file
-    return cut(map_batches(ordered, ("id", "text", "part"), "part int, file string, n_ids bigint, n_docs bigint", run))
+    return cut(map_batches(ordered, ("id", "text", "part"), "part int, file string, n_ids bigint, n_docs bigint", run, as_lists=False))
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
