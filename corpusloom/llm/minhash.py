@@ -177,7 +177,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ordered = (
         rows.select("id", "text", "key", "part", F.lit(0).alias("closing"))
         .unionByName(closing)
-        .repartition(parts, "part")
+        .repartitionById(parts, "part")
         .sortWithinPartitions("part", "closing", "key", "text")
     )
 
