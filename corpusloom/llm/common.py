@@ -57,6 +57,17 @@ def map_batches(df: DataFrame, columns: Sequence[str], schema: str, fn: Callable
     return df.select(*names).mapInArrow(run, kinds)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added where ``df`` has a column of that name already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n in taken:
+            n += "_"
+        taken.add(n)
+        out.append(n)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, map_batches, map_columns
+from corpusloom.llm.common import cut, fresh, map_batches, map_columns, text_or_empty
 from corpusloom.llm.components import components
 
 CHUNK = 4096
@@ -56,13 +56,14 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): fp is the fingerprint as a signed 64-bit integer."""
+    """(id, th, fp): th is a 64-bit hash of the text, fp the fingerprint as a signed 64-bit integer."""
     kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return map_columns(
-        docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text"),
-        ("id", "text"),
-        f"id {kind}, fp bigint",
-        lambda ids, texts: {"id": ids, "fp": np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)},
+        rows.select("id", "text", F.xxhash64(text_or_empty("text")).alias("th")),
+        ("id", "text", "th"),
+        f"id {kind}, th bigint, fp bigint",
+        lambda ids, texts, th: {"id": ids, "th": th, "fp": np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)},
     )
 
 
@@ -235,18 +236,23 @@ def link(fps: DataFrame, n_fps: int, radius: int = 4, chunk: int = CHUNK) -> Dat
     return map_batches(ordered, [*group, "fp", "n", "side"], "fp bigint, near bigint, root bigint", run)
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, chunk: int = CHUNK) -> DataFrame:
-    """One row per document: id, fingerprint (hex), n_near (others linked directly), component_id (smallest id reachable)."""
-    ids = cut(fingerprints(docs, id_col, text_col))
+def _classes(ids: DataFrame, radius: int, chunk: int) -> DataFrame:
+    """Per fingerprint: (fp, n_near, root, first), root being the least fingerprint of its component and first its smallest id."""
     fps = cut(ids.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("first")))
     linked = cut(link(fps.select("fp", "n"), fps.count(), radius, chunk))
     near = linked.groupBy("fp").agg(F.sum("near").alias("near"))
     roots = components(linked.select(F.col("fp").alias("a"), F.col("root").alias("b")))
-    known = (
+    return (
         fps.join(near, "fp", "left")
         .join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
         .select("fp", "first", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_near"), F.coalesce("root", "fp").alias("root"))
     )
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, chunk: int = CHUNK) -> DataFrame:
+    """One row per document: id, fingerprint (hex), n_near (others linked directly), component_id (smallest id reachable)."""
+    ids = cut(fingerprints(docs, id_col, text_col).select("id", "fp"))
+    known = _classes(ids, radius, chunk)
     least = known.groupBy("root").agg(F.min("first").alias("component_id"))
     per_fp = known.join(least, "root").select("fp", "n_near", "component_id")
     return ids.join(per_fp, "fp").select(
@@ -254,15 +260,17 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4) -> DataFrame:
-    """The rows of ``docs``, with all their columns, of one document of each group: that of the smallest id.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, chunk: int = CHUNK) -> DataFrame:
+    """One row of ``docs``, with all its columns, of each group: that of the smallest id.
 
-    Of rows with equal ids in a group one stays (the greatest text hash decides); rows without an id stay only
-    where their group has no id at all. Groups meet as (id, component) rows, texts move only in the last semi-join.
+    Null ids come last; of equal ids the text of smaller hash stays, and of rows equal in id and text any one. The
+    choice is made on (id, hashes) rows; texts move only in the last join.
     """
-    groups = simhash_groups(docs, id_col, text_col, radius)
-    keep = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("keep_id")).distinct()
-    hashed = docs.withColumn("keep_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    one = hashed.groupBy(F.col(id_col).alias("keep_id")).agg(F.max("keep_hash").alias("keep_hash"))
-    ids = keep.join(one, keep["keep_id"].eqNullSafe(one["keep_id"])).select(keep["keep_id"], "keep_hash")
-    return hashed.join(ids, hashed[id_col].eqNullSafe(ids["keep_id"]) & (hashed["keep_hash"] == ids["keep_hash"]), "left_semi").drop("keep_hash")
+    id_, hash_ = fresh(docs, "clm_id", "clm_hash")
+    ids = cut(fingerprints(docs, id_col, text_col))
+    roots = _classes(ids.select("id", "fp"), radius, chunk).select("fp", "root")
+    first = ids.join(roots, "fp").groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "th")).alias("x"))
+    winners = first.select(F.col("x.id").alias(id_), F.col("x.th").alias(hash_))
+    hashed = docs.withColumn(hash_, F.xxhash64(text_or_empty(text_col)))
+    kept = hashed.join(winners, hashed[id_col].eqNullSafe(winners[id_]) & (hashed[hash_] == winners[hash_]), "left_semi")
+    return kept.dropDuplicates([id_col, hash_]).drop(hash_)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import cut
+from corpusloom.llm.common import cut, fresh
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = ("domain", "lang", "source")
@@ -132,10 +132,10 @@ def choose(
 
 def mix(docs: DataFrame, weights: Mapping[str, Mapping[str, int]], seed: int, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs``, with all their columns, each as many times as ``choose`` says; rows that are equal in id and text share the greatest number."""
+    one, two, copies, copy = fresh(docs, "clm_key0", "clm_key1", "clm_copies", "clm_copy")
     key = F.xxhash64(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit(1))
     chosen = choose(docs, weights, seed, id_col=id_col, text_col=text_col, keys=key, **kw)
-    chosen = chosen.groupBy("key0", "key1").agg(F.max("copies").alias("mix_copies")).where("mix_copies > 0")
-    names = [f"`{c}`" for c in docs.columns]
-    keyed = docs.select("*", key[0].alias("key0"), key[1].alias("key1"))
-    many = keyed.join(chosen, ["key0", "key1"]).withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_copies"))))
-    return many.select(*names)
+    chosen = chosen.groupBy(F.col("key0").alias(one), F.col("key1").alias(two)).agg(F.max("copies").alias(copies)).where(F.col(copies) > 0)
+    keyed = docs.select("*", key[0].alias(one), key[1].alias(two))
+    many = keyed.join(chosen, [one, two]).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))))
+    return many.drop(one, two, copies, copy)

@@ -1,0 +1,142 @@
+"""Every operator and stage on nulls, empties, very long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+
+import corpus_pipeline
+from corpusloom.llm import queries
+from corpusloom.llm.anchored_pii import find_spans, pii_spans, redact
+from corpusloom.llm.byte_bpe import encode_documents
+from corpusloom.llm.compression_bands import keep_good, quality_rules
+from corpusloom.llm.dictionary_quality import score_documents, train
+from corpusloom.llm.minhash import fingerprint_edits
+from corpusloom.llm.simhash import fingerprint, keep_one, simhash_groups
+from corpusloom.llm.source_mixing import choose, mix
+from corpusloom.llm.substring_dedup import remove_repeats
+from corpusloom.llm.token_files import token_files
+from corpusloom.llm.url_equivalence import judge_urls, parse_rules
+
+CLASHING = "id th fp n key key0 key1 a b m at len once inner part closing clm_key0 clm_hash clm_id h bin copies domain2 rest budget node root r url2 score kept".split()
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} string" for c in CLASHING)
+
+
+def rows():
+    rng = random.Random(4)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "Ünï", "zeta,", "eta.", "theta!"]
+    prose = lambda n: " ".join(rng.choice(words) + str(rng.randint(0, 400)) for _ in range(n))
+    one, two = prose(120), prose(150)
+    texts = [
+        (1, None), (None, one), (None, None), (2, ""), (3, one), (3, one), (3, two), (4, one + " more"), (5, prose(40000)), (6, "\x00 nul \x01 byte \x1c sep"), (7, " \t\n "),
+        (8, "mail a.b@c.example.com and +1 (555) 555-0199, 10.0.0.1"), (9, "x" * 200_000), (10, "😀" * 500 + two), (9, "é"), (11, "<|endoftext|> 'll don't"), (5, two), (12, one[:399]),
+    ]
+    return [(i, t, None if i == 4 else "en", None if i == 6 else "src0", None, *["clash"] * len(CLASHING)) for i, t in texts]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.limit(0)
+
+
+WORD = public_tokenizers.path(queries.WORD_BPE)
+BYTE = public_tokenizers.path(queries.BYTE_BPE)
+PER_ROW = {
+    "op1": lambda d: remove_repeats(d),
+    "op3": lambda d: quality_rules(d),
+    "op4": lambda d: pii_spans(d),
+    "op5": lambda d: fingerprint_edits(d),
+    "op7": lambda d: token_files(d, WORD, 2),
+    "op8": lambda d: simhash_groups(d),
+    "op9": lambda d: choose(d, queries.WEIGHTS, 1, max_epochs=3, share=(1, 2), domain=queries.domain_of_source()),
+    "op10": lambda d: encode_documents(d, BYTE, public_tokenizers.PATTERN),
+}
+
+
+@pytest.mark.parametrize("name", PER_ROW)
+def test_one_row_per_row(docs, none, name):
+    out = PER_ROW[name](docs)
+    assert Counter(r.doc_id for r in out.collect()) == Counter(r[0] for r in rows())
+    assert PER_ROW[name](none).count() == 0
+
+
+def test_op2(spark, docs, none):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 0), (None, 1), (5, None)], "doc_id bigint, quality int")
+    model = train(docs, labels, queries.F.lit(True))
+    got = score_documents(docs, model, 0.3).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows()) and all(0 <= r.score <= 1 for r in got)
+    assert score_documents(none, train(none, labels.limit(0), queries.F.lit(True)), 0.3).count() == 0
+
+
+def test_op6(spark):
+    rules = parse_rules(queries.RULES)
+    pages = [
+        (1, None, None), (1, "no scheme", "<p>"), (2, "http://A.net/x", ""), (2, "http://A.net/x", ""), (3, "http://x.example.net/en/1?a#b", None), (4, "ftp://", ""), (None, "http://net", ""),
+        (5, "https://www.q.example.com/en/a/", '<LINK href="https://blocked.net/z" rel="canonical">'), (6, "http://q.example.com/en/a#t", None), (7, "https://blocked.net/z", ""),
+        (8, "http://w.example.com/b", '<meta http-equiv="refresh" content="0; url=//blocked.net/z"><link rel=canonical href=/fr/1>'), (9, "http://w.example.com/fr/1", None),
+        (10, "http://s.example.com/b", '<link rel=canonical href="http://blocked.net/k">'), (11, "http://s.example.com/b?utm_source=x", '<link rel=canonical href="http://ok.org/fr/2">'),
+    ]
+    df = spark.createDataFrame([(*p, "c", "c") for p in pages], "page_id bigint, url string, html string, node string, root string")
+    got = judge_urls(df, rules).collect()
+    by = {(r.page_id, r.host): r for r in got}
+    assert len(got) == len(pages)
+    assert (by[1, ""].verdict, by[1, ""].rule) == ("allow", None)
+    assert (by[2, "a.net"].rule, by[2, "a.net"].verdict) == ("net/", "block")
+    assert by[3, "x.example.net"].rule == "example.net/en/" and by[None, "net"].rule is None
+    assert by[5, "www.q.example.com"].verdict == by[6, "q.example.com"].verdict == "block"
+    assert by[8, "w.example.com"].verdict == by[9, "w.example.com"].verdict == "block"
+    assert by[10, "s.example.com"].verdict == by[11, "s.example.com"].verdict == "allow"
+    assert judge_urls(df.limit(0), rules).count() == 0
+
+
+def test_filters_keep_columns(docs, none):
+    for f in (keep_good, keep_one, redact, lambda d: mix(d, queries.WEIGHTS, 1, max_epochs=2, share=(3, 2), domain=queries.domain_of_source())):
+        assert f(docs).columns == docs.columns and f(docs).count() >= 0
+        assert f(none).count() == 0
+
+
+def test_keep_one_keeps_one_of_each_group(docs):
+    prints = [int(r.fingerprint, 16) for r in simhash_groups(docs).collect()]
+    group = {p: p for p in prints}
+    for p in prints:
+        for q in prints:
+            if (p ^ q).bit_count() <= 4:
+                old, new = group[p], group[q]
+                group = {k: new if v == old else v for k, v in group.items()}
+    left = keep_one(docs).collect()
+    assert len(left) == len(set(group.values()))
+    assert {group[fingerprint(r.text)] for r in left} == set(group.values())
+
+
+def test_redaction_and_spans(docs):
+    for r in redact(docs).collect():
+        assert r.text is None or (r.n_chars == len(r.text) and "@c.example" not in r.text)
+    assert find_spans(None) == [] and find_spans("") == []
+
+
+def test_pipeline_stages(spark, docs, none):
+    for start in (docs, none):
+        now = start
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            now = stage(spark, now, "")
+            if k < 4:
+                assert now.columns == docs.columns
+        now.count()
+
+
+def test_empty_and_null_results(docs):
+    by = {(r.doc_id, r.n_words): r for r in quality_rules(docs).collect()}
+    assert by[1, 0].base_failed and not by[1, 0].kept
+    gone = [r for r in remove_repeats(docs).collect() if r.doc_id == 2]
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in gone] == [(0, 0, 0)]
+    zero = {r.doc_id: r for r in encode_documents(docs, BYTE, public_tokenizers.PATTERN).collect()}
+    assert zero[2].n_tokens == 0
+    prints = [r for r in fingerprint_edits(docs).collect() if r.doc_id == 2]
+    assert prints[0].fingerprint == "" and prints[0].near_edited == 1.0
+    assert {r.fingerprint for r in simhash_groups(docs).collect() if r.doc_id in (1, 2, 7)} == {"0" * 16}
