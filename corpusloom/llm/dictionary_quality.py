@@ -6,8 +6,8 @@ for text that resembles good text. A logistic calibration on held-back labelled
 difference into a probability; it also sees the text's own compression ratio and length, since the
 difference shrinks for text that repeats itself and spreads for short text.
 
-Bounds, all parameters: ``max_rows`` labelled rows of each class, those of smallest hash of id and
-text; the dictionaries use the first half of them, cut into samples of ``sample_bytes`` up to
+Bounds, all parameters: ``max_rows`` labelled rows of each class, those of smallest hash of the id, and of
+these the texts of ``max_text_bytes`` at most; the dictionaries use every second one of them, cut into samples of ``sample_bytes`` up to
 ``max_bytes`` of a class; the calibration uses the other half. These rows are what comes to the driver.
 Nothing but the text of a document enters its score.
 
@@ -34,11 +34,12 @@ from corpusloom.llm.common import map_batches, text_or_empty
 @dataclass(frozen=True)
 class Settings:
     max_rows: int = 3000
-    sample_bytes: int = 4096
+    max_text_bytes: int = 65_536
+    sample_bytes: int = 1024
     max_bytes: int = 8_000_000
     dict_bytes: int = 112_640
     level: int = 3
-    ridge: float = 1e-3
+    ridge: float = 1e-5
 
 
 @dataclass(frozen=True)
@@ -82,15 +83,22 @@ def features(text: str | None, plain, good, bad) -> np.ndarray:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
-    """Newton's method; the ridge keeps separable classes finite."""
+    """Newton's method with halved steps, so that each one lowers the loss; the ridge keeps separable classes finite."""
+
+    def loss(w):
+        z = x @ w
+        return np.mean(np.logaddexp(0, z) - y * z) + ridge / 2 * w @ w
+
     w = np.zeros(x.shape[1])
-    for _ in range(50):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (p - y) / len(y) + ridge * w
         hess = (x * (p * (1 - p))[:, None]).T @ x / len(y) + ridge * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w -= step
-        if np.abs(step).max() < 1e-9:
+        step, now = np.linalg.solve(hess, grad), loss(w)
+        while loss(w - step) > now and np.abs(step).max() > 1e-9:
+            step /= 2
+        w = w - step
+        if np.abs(step).max() < 1e-7:
             break
     return w
 
@@ -120,7 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
         .where("y = y2")
         .select("id", "y")
     )
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).where("text <> ''")
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    texts = texts.where((F.col("text") != "") & (F.octet_length("text") <= settings.max_text_bytes))
     order = F.xxhash64("id", F.lit("quality"))
     share = known.groupBy("y").count().collect()  # two rows
     # the bounded sample of ids is drawn first, so that only its texts move
