@@ -55,12 +55,15 @@ def bin_label(index: Column, bins: int) -> Column:
     return F.format_string("bin_%02d", (index + 1).cast("int"))
 
 
+def bin_index(at: Column, total: Column, bins: int) -> Column:
+    """The bin, from 0 on, of the place ``at`` among ``total``: of equal numbers, unlike ``ntile`` the odd ones are spread."""
+    return F.least(F.floor(at * bins / total), F.lit(bins - 1))
+
+
 def severity_bins(speakers: DataFrame, bins: int, name: str = "severity_bucket") -> DataFrame:
     """Bins of equal numbers by severity proxy, ties by speaker."""
-    total = speakers.count()
-    placed = with_position(speakers, ["severity_proxy", "speaker_id"], "clm__at")
-    index = F.least(F.floor(F.col("clm__at") * bins / F.lit(max(total, 1))), F.lit(bins - 1))
-    return placed.withColumn(name, bin_label(index, bins)).drop("clm__at")
+    placed = with_position(speakers, ["severity_proxy", "speaker_id"], "clm__at", "clm__n")
+    return placed.withColumn(name, bin_label(bin_index(F.col("clm__at"), F.col("clm__n"), bins), bins)).drop("clm__at", "clm__n")
 
 
 def split_counts(n: Column, profile: Profile = DEFAULT) -> tuple[Column, Column, Column]:

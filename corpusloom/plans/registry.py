@@ -138,9 +138,8 @@ SELECT speaker_id, 'all' AS bins_1, ['lower', 'higher'][{_BINS.format(p='p', k=2
     format('bin_{{:02d}}', {_BINS.format(p='p', k=4)}) AS bins_4, format('bin_{{:02d}}', {_BINS.format(p='p', k=5)}) AS bins_5 FROM p""")
 def severity_bins_k(spark, sf_dir):
     rows = split.speaker_stats(filtered(spark, sf_dir)).select("speaker_id", "severity_proxy")
-    total = rows.count()
-    placed = split.with_position(rows, ["severity_proxy", "speaker_id"], "at")
-    label = lambda k: split.bin_label(F.least(F.floor(F.col("at") * k / F.lit(max(1, total))), F.lit(k - 1)), k).alias(f"bins_{k}")
+    placed = split.with_position(rows, ["severity_proxy", "speaker_id"], "at", "n")
+    label = lambda k: split.bin_label(split.bin_index(F.col("at"), F.col("n"), k), k).alias(f"bins_{k}")
     return placed.select("speaker_id", *map(label, range(1, 6)))
 
 
