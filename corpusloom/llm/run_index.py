@@ -32,7 +32,7 @@ class RunIndex:
         used[raw] = True
         stops = np.zeros(n, bool)
         stops[self.starts[1:] - 1] = True
-        codes = np.zeros(256, np.uint64)
+        codes = np.zeros(256, np.uint16)
         codes[used] = np.arange(1, used.sum() + 1)
         self.text = codes[raw]
         self.text[stops] = 0
@@ -47,17 +47,17 @@ class RunIndex:
         while True:
             order = np.argsort(key)
             sorted_key = key[order]
-            rank = np.empty(n, np.int64)
-            new = np.ones(n, np.int64)
+            rank = np.empty(n, np.int32)
+            new = np.ones(n, bool)
             new[1:] = sorted_key[1:] != sorted_key[:-1]
-            count = np.cumsum(new)
+            count = np.cumsum(new, dtype=np.int32)
             rank[order] = count
             self.levels.append((size, rank))
             if size > longest or count[-1] == n:
                 break
             padded = np.zeros(n + 2 * size, np.int64)
             padded[:n] = rank
-            key = (rank << 42) | (padded[size : size + n] << 21) | padded[2 * size : 2 * size + n]
+            key = (padded[:n] << 42) | (padded[size : size + n] << 21) | padded[2 * size : 2 * size + n]
             size *= 3
         self.suffixes = order
         # rows of the transform that begin a run; the start of a text is a run by itself
@@ -65,7 +65,7 @@ class RunIndex:
         begins = np.ones(n, bool)
         begins[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
         self.begins = np.flatnonzero(begins)
-        self.ends_at = np.repeat(self.starts[1:] - 1, self.lengths + 1)
+        self.ends_at = np.repeat((self.starts[1:] - 1).astype(np.int32), self.lengths + 1)
 
     def extension(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """The length of the longest common extension of the suffixes at ``i`` and ``j``, inside their texts."""
