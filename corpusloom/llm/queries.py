@@ -43,7 +43,7 @@ def op2_dictionary_quality(spark, sf_dir):
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     scored = score_documents(docs, train(docs, labels, fold != 0), threshold=0.3)
-    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op3_compression_bands(spark, sf_dir):
