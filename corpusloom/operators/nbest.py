@@ -66,6 +66,18 @@ def top_candidates(rows: DataFrame, group: str, order: str, text: str, limit: in
     return firsts.select(group, rank.alias("candidate_rank"), "text").where(F.col("candidate_rank") <= limit)
 
 
+def with_run_columns(rows: DataFrame, model: str, adapter: str | None, beams: int, sequences: int) -> DataFrame:
+    """The columns that say how a row's candidates were made."""
+    return rows.withColumns(
+        {
+            "nbest_model_name": F.lit(model),
+            "nbest_adapter_path": F.lit(adapter or ""),
+            "nbest_num_beams": F.lit(beams).cast("int"),
+            "nbest_num_return_sequences": F.lit(sequences).cast("int"),
+        }
+    )
+
+
 def beam_groups(beams: int, groups: int, sequences: int) -> int:
     """The most groups, up to all three numbers, that divide the beams."""
     g = max(1, min(beams, groups, sequences))

@@ -131,3 +131,20 @@ def split_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("split").agg(
         F.count("*").alias("n_rows"), F.countDistinct("speaker_id").alias("n_speakers"), stable_round(F.sum("duration_sec") / 3600.0, 3).alias("total_hours")
     )
+
+
+def require_splits(speakers: DataFrame, allow_empty: bool = False) -> DataFrame:
+    """``speakers``, or a ValueError if there is none or, unless allowed, a split is without one."""
+    there = {r[0] for r in speakers.select("split").distinct().collect()}
+    if not there:
+        raise ValueError("no speaker is left after the filters")
+    if not allow_empty and set(SPLITS) - there:
+        raise ValueError(f"empty splits: {sorted(set(SPLITS) - there)}")
+    return speakers
+
+
+def global_summary(rows: DataFrame, quality: DataFrame, dropped: DataFrame) -> DataFrame:
+    """One row: segments, speakers, hours and kept and dropped files of a build."""
+    files = quality.agg(F.count("*").alias("quality_files")).crossJoin(dropped.agg(F.count("*").alias("dropped_files")))
+    whole = rows.agg(F.count("*").alias("n_rows"), F.countDistinct("speaker_id").alias("n_speakers"), stable_round(F.coalesce(F.sum("duration_sec"), F.lit(0.0)) / 3600.0, 3).alias("total_hours"))
+    return whole.crossJoin(files)  # single rows

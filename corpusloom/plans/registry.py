@@ -157,6 +157,20 @@ def split_summary(spark, sf_dir):
     return split.split_summary(split.training_rows(rows, split.build_split(rows)))
 
 
+@query(f"WITH {SEG} SELECT count(*) AS files, sum(whisper_segment_count)::BIGINT AS whisper_segment_count, sum(matched_whisper_segments)::BIGINT AS matched_whisper_segments, round(avg(coverage_ratio), 6) AS mean_coverage FROM rep")
+def report_summary(spark, sf_dir):
+    return align.report_summary(fx.report(spark, sf_dir))
+
+
+@query(f"""WITH {GATE}, kept AS (SELECT * FROM strict WHERE source_audio_path IN (SELECT source_audio_path FROM good))
+SELECT count(*) AS n_rows, count(DISTINCT speaker_id) AS n_speakers, SR(sum(duration_sec) / 3600, 3) AS total_hours, (SELECT count(*) FROM quality) AS quality_files,
+    (SELECT count(*) FROM quality WHERE source_audio_path NOT IN (SELECT source_audio_path FROM good)) AS dropped_files FROM kept""")
+def global_summary(spark, sf_dir):
+    rows = filtered(spark, sf_dir, STRICT)
+    q = quality.file_quality(rows, fx.report(spark, sf_dir))
+    return split.global_summary(quality.gate_files(rows, q, STRICT), q, quality.dropped_files(q, STRICT))
+
+
 @query(f"""WITH {SPLIT} SELECT source_audio_path, manifest_index, speaker_id, split, severity_proxy, severity_bucket, CASE WHEN actual_severity = 'unknown' THEN severity_bucket ELSE actual_severity END AS resolved_severity
 FROM ok JOIN split USING (speaker_id)""")
 def training_rows(spark, sf_dir):
@@ -515,6 +529,15 @@ def recursive_severity(spark, sf_dir):
     return rows.select("c_custkey", value.alias("severity_label"), path.alias("severity_source"))
 
 
+@query(f"WITH {TURNS}, t AS (SELECT conv_id, turn, {PLAIN('ref')} AS r, {PLAIN('hyp')} AS h FROM turns) SELECT conv_id, turn, round(levenshtein(r, h)::DOUBLE / nullif(length(r), 0), 9) AS cer FROM t")
+def sql_functions(spark, sf_dir):
+    """The functions under their SQL names."""
+    from corpusloom.functions.sql import register_sql
+
+    register_sql(spark)
+    return fx.turns(spark, sf_dir).selectExpr("conv_id", "turn", "round(cer(hangul_romanize(lower(trim(regexp_replace(ref, '[^0-9A-Za-z가-힣]+', ' ')))), hangul_romanize(lower(trim(regexp_replace(hyp, '[^0-9A-Za-z가-힣]+', ' '))))), 9) AS cer")
+
+
 # --- streams -------------------------------------------------------------------------------------------------------
 @query("SELECT event_id, user_id, event_type, upper(event_type) AS kind FROM events")
 def stream_append(spark, sf_dir):

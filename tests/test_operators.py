@@ -76,6 +76,23 @@ def test_empty_splits_are_filled(spark):
     assert got == {0: "dev", 1: "test", 2: "train", 3: "train", 4: "train"}
 
 
+def test_guards(spark):
+    df = lambda *names: spark.createDataFrame([(n,) for n in names], "split string")
+    assert split.require_splits(df("train", "dev", "test")).count() == 3 and split.require_splits(df("train"), allow_empty=True).count() == 1
+    for bad in (df("train"), df("train").limit(0)):
+        with pytest.raises(ValueError):
+            split.require_splits(bad)
+    assert sinks.check_run(False) == "errorifexists" and sinks.check_run(True, resume=True) == "append" and sinks.check_run(True, overwrite=True) == "overwrite"
+    with pytest.raises(FileExistsError):
+        sinks.check_run(True)
+    with pytest.raises(ValueError):
+        sinks.check_run(True, True, True)
+    sinks.check_progress({"valid_count": 1, "processed_count": 2}, 1, 2)
+    for written, selected in ((0, 2), (1, 1)):
+        with pytest.raises(ValueError):
+            sinks.check_progress({"valid_count": 1, "processed_count": 2}, written, selected)
+
+
 def test_quality_edges(spark):
     seg = spark.createDataFrame([("f", 0.35, 1.0), ("f", 0.3499, 5.0), ("f", 0.9, 30.0), ("g", 0.9, 5.0), ("h", 0.9, 30.01)], "source_audio_path string, score double, duration_sec double")
     rep = spark.createDataFrame([("f", 0.45, 4, 3), ("z", 1.0, 1, 1)], "source_audio_path string, coverage_ratio double, whisper_segment_count int, matched_whisper_segments int")
@@ -350,6 +367,8 @@ def test_models_are_plugged_in(spark):
     df = spark.createDataFrame([(0, "a")], "i int, text string")
     row = generate_candidates(df, Echo, 3, sampling=True).first()
     assert [(c.rank, c.text, c.source) for c in row.nbest_candidates] == [(1, "a", "beam"), (2, "a 0", "sample"), (3, "a 1", "sample")]
+    named = nbest.with_run_columns(generate_candidates(df, Echo, 3), "m", None, 5, 3).first()
+    assert (named.nbest_model_name, named.nbest_adapter_path, named.nbest_num_beams, named.nbest_sampling_fallback) == ("m", "", 5, False)
     assert len(generate_candidates(df, Echo, 3).first().nbest_candidates) == 1
     assert generate_texts(augment.prompts(df, "sys"), Echo).first().generated_text == '- 입력 데이터: {"i":0,"text":"a"}'
     assert transcribe(spark.createDataFrame([("p",)], "path string"), Echo, "source_audio_path string, text string").first().text == "P"

@@ -87,6 +87,14 @@ def test_word_edits(spark):
     assert got == [2, 2, 2, 0, 2, 1]
 
 
+def test_sql_names(spark):
+    from corpusloom.functions.sql import register_sql
+
+    register_sql(spark)
+    row = spark.sql("SELECT hangul_romanize('한국 A') a, wer('a b  c', 'a x c d') b, cer('abcd', 'abd') c, wer('', 'a') d, asr_normalize('A, b') e, round(seq_ratio('a b', 'a b'), 6) f").first()
+    assert tuple(row) == ("hangug a", 2 / 3, 0.25, None, "a b", 1.0)
+
+
 def test_severity_search(spark):
     docs = [{"a": {"My_Level": ""}, "b": [{"x": 1}, {"중증도": " s "}]}, {"grade": {"k": 1}}, {"a": [[{"LEVEL": 0}]]}, {"a": None}]
     want = [("s", "b[1].중증도"), ("{'k': 1}", "grade"), ("0", "a[0][0].LEVEL"), ("", "")]
