@@ -34,7 +34,7 @@ NONE = -1
 class BacktrackingBPE:
     """``ranks`` maps the bytes of each token to its rank, which is its id."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 600_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_pieces: int = 400_000):
         self.token = {i: b for b, i in ranks.items()}
         self.ranks = ranks
         self.findall = regex.compile(pattern).findall
@@ -104,7 +104,7 @@ class BacktrackingBPE:
 
     def fits(self, one: int, two: int) -> bool:
         """``_fits``, memoised in a table that is emptied when it is full."""
-        if len(self.compatible) >= 1_000_000:
+        if len(self.compatible) >= 500_000:
             self.compatible.clear()
         known = self.compatible[one << 32 | two] = self._fits(one, two)
         return known
