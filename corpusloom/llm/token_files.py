@@ -15,7 +15,8 @@ into place when it is whole, so a task that is run again replaces it with the sa
 first position follows from the sizes of the files before it: one row per file, never one per document.
 
 Defined cases: a null text counts as empty and has the end id alone. Null ids come first. Rows with
-equal ids follow each other by text, then as they come (equal rows are interchangeable). An empty table
+equal ids follow each other by a hash of their text, which also tells ranges apart, so that many rows of one id
+don't share a partition; equal rows are interchangeable. An empty table
 gives no file and an empty result. A text's ids are held whole; a file is written block by block.
 """
 
@@ -224,8 +225,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     """Write one file per range of ids under ``folder``; returns (part, file, n_ids, n_docs), one row per file that has documents."""
     ordered = (
         docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text_col).alias("text"))
-        .repartitionByRange(_range_parts(docs), F.col("id").asc_nulls_first())
-        .sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+        .withColumn("th", F.xxhash64("text"))
+        .repartitionByRange(_range_parts(docs), F.col("id").asc_nulls_first(), "th")
+        .sortWithinPartitions(F.col("id").asc_nulls_first(), "th", "text")
         .withColumn("part", F.spark_partition_id())
     )
 
