@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.components import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: More rules than this are joined as a table.
 MAX_RULES = 1000
 
 
@@ -58,9 +59,7 @@ def host_path(url: Column) -> tuple[Column, Column]:
 
 
 def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
-    """(name, verdict) of the longest rule that fits, else null; for ``MAX_RULES`` at most."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: split the list")
+    """(name, verdict) of the longest rule that fits, else null, as one expression."""
     out = F.lit(None).cast("struct<name:string,verdict:string>")
     for r in sorted(rules, key=lambda r: (len(r.name), r.name)):
         fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
@@ -68,6 +67,23 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
+def with_rule(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Rows (host, path, ...) with ``r``, the (name, verdict) of the longest rule that fits, else null.
+
+    Up to ``MAX_RULES`` rules are an expression. More are a table: each different host and path is joined with
+    the rules of its host and of the domains above, and the longest that fits is kept.
+    """
+    if len(rules) <= MAX_RULES:
+        return rows.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
+    table = rows.sparkSession.createDataFrame([(r.host, r.path, r.name, r.verdict) for r in rules], "domain string, start string, name string, verdict string")
+    parts = F.split("host", "\\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
+    urls = rows.select("host", "path").distinct().select("host", "path", F.explode(above).alias("domain"))
+    fits = urls.join(table, "domain").where(F.col("path").startswith(F.col("start")))
+    best = fits.groupBy("host", "path").agg(F.max_by(F.struct("name", "verdict"), F.struct(F.length("name"), "name")).alias("r"))
+    return rows.join(best, ["host", "path"], "left")
+
+
 def node_of(url: Column) -> Column:
     """One name for the URLs that a site's usual redirects make equal; null where there is no ``://``."""
     host, path = host_path(url)
@@ -99,7 +115,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None
     host, path = host_path(F.col("url"))
     named = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
     rows = named.select("id", host.alias("host"), path.alias("path"), node_of(F.col("url")).alias("node"))
-    rows = rows.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
+    rows = with_rule(rows, rules)
     # html is read for the edges alone, and only where a tag is there
     tagged = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).where(F.col("html").rlike(r"(?i)canonical|http-equiv"))
     links = tagged.select(F.col("url").alias("source"), F.explode(link_targets(F.col("url"), F.col("html"))).alias("target"))
@@ -109,7 +125,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None
     roots = components(edges)
     ends = links.select(F.explode(F.array("source", "target")).alias("url"))
     t_host, t_path = host_path(F.col("url"))
-    decided = rows.select("node", F.col("r.verdict").alias("v")).unionByName(ends.select(node_of(F.col("url")).alias("node"), rule_of(t_host, t_path, rules)["verdict"].alias("v")))
+    ends = with_rule(ends.select(node_of(F.col("url")).alias("node"), t_host.alias("host"), t_path.alias("path")), rules)
+    decided = rows.select("node", F.col("r.verdict").alias("v")).unionByName(ends.select("node", F.col("r.verdict").alias("v")))
     per_node = decided.where("v IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(F.max(F.col("v") == "allow").alias("ok"), F.max(F.col("v") == "block").alias("no"))
     grouped = lambda df: df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per_root = grouped(per_node).groupBy("root").agg(F.max("ok").alias("ok"), F.max("no").alias("no"))

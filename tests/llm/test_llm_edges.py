@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from corpusloom.llm import queries
+from corpusloom.llm import queries, url_equivalence
 from corpusloom.llm.anchored_pii import find_spans, pii_spans, redact
 from corpusloom.llm.byte_bpe import encode_documents
 from corpusloom.llm.compression_bands import keep_good, quality_rules
@@ -74,7 +74,7 @@ def test_op2(spark, docs, none):
     assert score_documents(none, train(none, labels.limit(0), queries.F.lit(True)), 0.3).count() == 0
 
 
-def test_op6(spark):
+def test_op6(spark, monkeypatch):
     rules = parse_rules(queries.RULES)
     pages = [
         (1, None, None), (1, "no scheme", "<p>"), (2, "http://A.net/x", ""), (2, "http://A.net/x", ""), (3, "http://x.example.net/en/1?a#b", None), (4, "ftp://", ""), (None, "http://net", ""),
@@ -93,6 +93,8 @@ def test_op6(spark):
     assert by[8, "w.example.com"].verdict == by[9, "w.example.com"].verdict == "block"
     assert by[10, "s.example.com"].verdict == by[11, "s.example.com"].verdict == "allow"
     assert judge_urls(df.limit(0), rules).count() == 0
+    monkeypatch.setattr(url_equivalence, "MAX_RULES", 1)
+    assert Counter(judge_urls(df, rules).collect()) == Counter(got)
 
 
 def test_filters_keep_columns(docs, none):
