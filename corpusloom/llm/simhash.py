@@ -266,11 +266,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     Null ids come last; of equal ids the text of smaller hash stays, and of rows equal in id and text any one. The
     choice is made on (id, hashes) rows; texts move only in the last join.
     """
-    id_, hash_ = fresh(docs, "clm_id", "clm_hash")
+    name, hash_ = fresh(docs, "clm_name", "clm_hash")
     ids = cut(fingerprints(docs, id_col, text_col))
     roots = _classes(ids.select("id", "fp"), radius, chunk).select("fp", "root")
     first = ids.join(roots, "fp").groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "th")).alias("x"))
-    winners = first.select(F.col("x.id").alias(id_), F.col("x.th").alias(hash_))
-    hashed = docs.withColumn(hash_, F.xxhash64(text_or_empty(text_col)))
-    kept = hashed.join(winners, hashed[id_col].eqNullSafe(winners[id_]) & (hashed[hash_] == winners[hash_]), "left_semi")
-    return kept.dropDuplicates([id_col, hash_]).drop(hash_)
+    # rows meet by two 64-bit hashes, of id and text, which are never null; equal rows then lie together already
+    winners = first.select(F.xxhash64("x.id").alias(name), F.col("x.th").alias(hash_))
+    hashed = docs.withColumns({name: F.xxhash64(id_col), hash_: F.xxhash64(text_or_empty(text_col))})
+    return hashed.join(winners, [name, hash_], "left_semi").dropDuplicates([name, hash_]).drop(name, hash_)
