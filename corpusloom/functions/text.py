@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as Unicode has it; Java's ``\s`` stops at ASCII.
 WS = r"[\x09-\x0d\x1c-\x20\x85\p{Z}]+"
-NOT_MATCHABLE = "[^0-9A-Za-z가-힣]+"
+MATCHABLE = "[0-9A-Za-z가-힣]+"
 
 # Romanised Hangul: initials, vowels and finals in code point order; "-" is silent.
 INITIALS = "g gg n d dd r m b bb s ss - j jj ch k t p h".replace("-", "").split(" ")
@@ -37,17 +37,22 @@ def romanize_hangul(s: Column) -> Column:
         roman = F.concat(part(INITIALS, F.floor(at / 588)), part(VOWELS, vowel), part(FINALS, at % 28))
         return F.when(at.between(0, 11171), roman).otherwise(F.lower(c))
 
-    return F.when(s == "", "").otherwise(F.array_join(F.transform(F.split(s, ""), one), ""))
+    # most texts have no Hangul at all: ASCII needs no look at single characters
+    return F.when(s.rlike("^[\\x00-\\x7f]*$"), F.lower(s)).otherwise(F.array_join(F.transform(F.split(s, ""), one), ""))
+
+
+def _matchable(s: Column) -> Column:
+    # picking the runs is several times faster in Java than replacing what a negated class of ranges matches
+    return F.regexp_extract_all(F.coalesce(s.cast("string"), F.lit("")), F.lit(MATCHABLE), F.lit(0))
 
 
 def match_text(s: Column) -> Column:
     """What alignment compares: letters a to z, digits and Hangul, romanised, single blanks between."""
-    return romanize_hangul(F.lower(F.trim(F.regexp_replace(normalize_text(s), NOT_MATCHABLE, " "))))
+    return romanize_hangul(F.lower(F.array_join(_matchable(s), " ")))
 
 
 def match_tokens(s: Column) -> Column:
-    words = F.split(F.lower(F.trim(F.regexp_replace(normalize_text(s), NOT_MATCHABLE, " "))), " ")
-    return F.transform(F.filter(words, lambda w: w != ""), romanize_hangul)
+    return F.transform(_matchable(s), lambda w: romanize_hangul(F.lower(w)))
 
 
 def token_overlap(hypothesis: Column, reference: Column) -> Column:

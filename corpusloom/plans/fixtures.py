@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from corpusloom.functions.text import stable_round
 from corpusloom.operators.ranking import with_position
+from corpusloom.storage import spread
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Some columns of a table whose texts are costly to work on."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A segment per order line: its file is the order, its speaker the customer; ``ord`` orders them."""
     t = lambda n: table(spark, sf_dir, n)

@@ -302,12 +302,12 @@ def align_steps(spark, sf_dir):
 # --- text ----------------------------------------------------------------------------------------------------------
 @query(f"SELECT doc_id, {NORM('text')} AS normal FROM documents")
 def text_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tx.normalize_text(F.col("text")).alias("normal"))
+    return fx.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", tx.normalize_text(F.col("text")).alias("normal"))
 
 
 @query(f"SELECT doc_id, {NORM('regexp_replace(lower(nfc_normalize(' + NORM('text') + ')), $$[\\p{P}\\p{S}\\p{C}]$$, $$$$, $$g$$)')} AS normal FROM documents")
 def asr_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", udfs.asr_normalize("text").alias("normal"))
+    return fx.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", udfs.asr_normalize("text").alias("normal"))
 
 
 _SYLLABLES = "SELECT range AS id, chr((44032 + (range * 37) % 11172)::INT) || chr((44032 + (range * 91 + 5) % 11172)::INT) || ' Ab' AS s FROM range(12000)"
@@ -329,7 +329,7 @@ def match_tokens(spark, sf_dir):
 
 @query(f"WITH s AS (SELECT doc_id, {SENTENCES('text')} AS s FROM documents) SELECT doc_id, unnest(range(len(s))) AS pos, unnest(s) AS sentence FROM s")
 def split_sentences(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(tx.split_sentences(F.col("text"))).alias("pos", "sentence"))
+    rows = fx.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(tx.split_sentences(F.col("text"))).alias("pos", "sentence"))
     return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "sentence")
 
 
@@ -339,7 +339,7 @@ _LINES = f"SELECT doc_id, i, {NORM('line')} AS line FROM (SELECT doc_id, unnest(
 @query(f"""WITH l AS ({_LINES}), d AS (SELECT doc_id, line, min(i) AS f FROM l WHERE line <> '' GROUP BY ALL)
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY f) AS line_rank, line FROM d""")
 def order_preserving_dedupe(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(tx_distinct_lines()).alias("pos", "c"))
+    rows = fx.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(tx_distinct_lines()).alias("pos", "c"))
     return rows.select("doc_id", F.col("c.rank").cast("bigint").alias("line_rank"), F.col("c.text").alias("line"))
 
 
@@ -454,7 +454,7 @@ def interval_overlap(spark, sf_dir):
 w AS (SELECT doc_id, pos, sentence, greatest(1, length({PLAIN('sentence')}))::DOUBLE AS w FROM u), c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS c, sum(w) OVER (PARTITION BY doc_id) AS t FROM w)
 SELECT doc_id, pos, round(2.0::DOUBLE + 60 * (c - w) / t, 6) AS sub_start, round(CASE WHEN c = t THEN 62 ELSE 2.0::DOUBLE + 60 * c / t END, 6) AS sub_end FROM c""")
 def time_split(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(tx.split_sentences(F.col("text"))).alias("pos", "sentence"), F.lit(2.0).alias("s"), F.lit(62.0).alias("e"))
+    rows = fx.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(tx.split_sentences(F.col("text"))).alias("pos", "sentence"), F.lit(2.0).alias("s"), F.lit(62.0).alias("e"))
     out = align.share_time(rows, ["doc_id"], "pos", "s", "e", "sentence")
     return out.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.round("sub_start", 6).alias("sub_start"), F.round("sub_end", 6).alias("sub_end"))
 
@@ -486,7 +486,7 @@ _CASES = "CASE doc_id % 7 " + " ".join(f"WHEN {k} THEN {v}" for k, v in _GENERAT
 
 def _generated(spark, sf_dir):
     body = F.replace(F.replace(F.col("text"), F.lit('"'), F.lit("'")), F.lit("\n"), F.lit(" "))
-    rows = table(spark, sf_dir, "documents").select("doc_id", body.alias("b"))
+    rows = fx.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", body.alias("b"))
     return rows.select("doc_id", F.expr(_CASES.replace("@b", "b").replace("chr(", "char(").replace("'''", "\\''")).alias("generated_text"))
 
 

@@ -22,3 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan, shuffled over all cores if it comes in fewer pieces than there are cores.
+
+    For work that costs far more than moving its input. A scan of many files, as of any large table, stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    pieces = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan.repartition(cores) if pieces < cores else scan
