@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from corpusloom.storage import spread
+
 #: Separators between words: space and U+0009 to U+000D, the set that ``bytes.split()`` uses.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
@@ -69,7 +71,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def text_or_empty(name: str = "text"):
