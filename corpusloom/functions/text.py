@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as Unicode has it; Java's ``\s`` stops at ASCII.
 WS = r"[\x09-\x0d\x1c-\x20\x85\p{Z}]+"
+SENTENCE_MARK = "[。！？.!?]"
 MATCHABLE = "[0-9A-Za-z가-힣]+"
 
 # Romanised Hangul: initials, vowels and finals in code point order; "-" is silent.
@@ -64,11 +65,11 @@ def token_overlap(hypothesis: Column, reference: Column) -> Column:
 def split_sentences(s: Column, words_a_chunk: int = 12) -> Column:
     """After sentence marks; without any mark, chunks of ``words_a_chunk`` words."""
     text = normalize_text(s)
-    by_mark = F.filter(F.split(text, r"(?<=[.!?。！？])\s+"), lambda x: x != "")
+    by_mark = F.filter(F.split(text, f"(?<={SENTENCE_MARK}) "), lambda x: x != "")
     words = F.split(text, " ")
     starts = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / words_a_chunk).cast("int"))
     chunks = F.transform(starts, lambda k: F.array_join(F.slice(words, k * words_a_chunk + 1, words_a_chunk), " "))
-    return F.when(text == "", F.array().cast("array<string>")).when(text.rlike("[.!?。！？]"), by_mark).otherwise(chunks)
+    return F.when(text == "", F.array().cast("array<string>")).when(text.rlike(SENTENCE_MARK), by_mark).otherwise(chunks)
 
 
 def length_scores(asr: Column, ref: Column, duration: Column) -> tuple[Column, Column, Column]:

@@ -13,13 +13,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.text import FINALS, INITIALS, VOWELS
+from corpusloom.functions.text import FINALS, INITIALS, MATCHABLE, VOWELS
 from corpusloom.schemas import table
 
 PY_WS = re.compile(r"\s+")
-NOT_MATCHABLE = re.compile("[^0-9A-Za-z가-힣]+")
 SEVERITY_KEY = re.compile("severity|grade|level|중증", re.IGNORECASE)
-FENCE = re.compile(r"```(?:json)?\s*(.*?)```", re.DOTALL | re.IGNORECASE)
+FENCE = re.compile("`{3}(?:json)?\\s*(.*?)`{3}", re.S | re.I)
 
 def squeeze(value) -> str:
     return "" if value is None else PY_WS.sub(" ", str(value)).strip()
@@ -39,7 +38,7 @@ def romanize(text: str) -> str:
 
 
 def match_words(text: str) -> list[str]:
-    return NOT_MATCHABLE.sub(" ", squeeze(text)).lower().split()
+    return [w.lower() for w in re.findall(MATCHABLE, text or "")]
 
 
 def asr_normal(text, without_blanks: bool = False) -> str:
@@ -93,7 +92,8 @@ def group_score(asr: Comparable, n_words: int, seconds: float, ref: Comparable,
 
     chars = max(1, len(ref.roman))
     expected = chars / 7.0
-    lasting = 1.0 - min(abs(max(0.0, seconds) - expected) / max(expected, 1.0), 1.0)
+    off = abs(max(0.0, seconds) - expected) / (expected if expected > 1.0 else 1.0)
+    lasting = 1.0 - min(off, 1.0)
     by_words, by_chars = close(n_words or max(1, asr.plain_words), max(1, ref.plain_words)), close(max(1, len(asr.roman)), chars)
     bound = 0.25 * text_bound(asr, ref) + 0.35 * by_words + 0.20 * by_chars + 0.20 * lasting
     if bound + 1e-9 < enough:
@@ -110,7 +110,7 @@ def text_bound(asr: Comparable, ref: Comparable) -> float:
     return 0.8 * (2.0 * shared / (len(asr.roman) + len(ref.roman))) + 0.2 * common
 
 
-def find_severity(node, path: str = "") -> tuple[str, str]:
+def find_severity(node, path=""):
     """Depth first in document order: the first key that names a severity and has a value; ('', '') if none."""
     items = node.items() if isinstance(node, dict) else ((f"[{i}]", v) for i, v in enumerate(node)) if isinstance(node, list) else ()
     for key, value in items:
@@ -150,7 +150,8 @@ def flat_text(value) -> str:
         lines = [(k, flat_text(v)) for k, v in value.items()]
         return "\n".join(f"{k}: {v}" for k, v in lines if v).strip()
     if isinstance(value, list):
-        return "\n".join(filter(None, map(flat_text, value))).strip()
+        lines = [flat_text(v) for v in value]
+        return "\n".join(x for x in lines if x).strip()
     return "" if value is None else str(value).strip()
 
 
@@ -162,7 +163,7 @@ def any_case(data: dict, *names: str):
 SECTIONS = {
     "CC": ("cc", "chief_complaint", "주소증"),
     "PI": ("pi", "present_illness", "현병력"),
-    "A&P": ("ap", "a&p", "assessment_plan", "assessment_and_plan", "평가 및 계획", "평가와 계획"),
+    "A&P": ("평가와 계획", "assessment_and_plan", "a&p", "평가 및 계획", "ap", "assessment_plan"),
 }
 PLACEHOLDERS = ("[환자의 자연스러운 호소 문장]", "[구조화된 문진표]")
 
@@ -195,7 +196,7 @@ def is_valid_record(data) -> bool:
     if not {"instruction", "input"} <= keys or keys & {"qa_id", "status"}:
         return False
     for text in (flat_text(any_case(data, "instruction")), flat_text(any_case(data, "input")), output_text(data)):
-        if len(text) < 5 or text == "..." or text.upper() == "SKIP" or any(p in text for p in PLACEHOLDERS):
+        if len(text) < 5 or text.upper() in ("...", "SKIP") or any(p in text for p in PLACEHOLDERS):
             return False
     return True
 

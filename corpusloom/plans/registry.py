@@ -290,7 +290,7 @@ def _alignment(spark, sf_dir):
 
 
 @query()
-def align_segments(spark, sf_dir):
+def aligned_segments(spark, sf_dir):
     return _alignment(spark, sf_dir)[0]
 
 
