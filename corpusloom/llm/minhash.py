@@ -159,26 +159,31 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Per document: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The next document is that of the next greater id (after the last, the first; a lone document follows
-    itself). Null ids come first; rows with equal ids follow each other by text. Ids are split into
-    ranges at approximate quantiles; each range is sorted by itself and gets the first document of the
-    range after it as a closing row: one short table of a row per range, whatever the input's size.
+    itself). Null ids come first; rows with equal ids follow each other by a hash of their text, then by text. Ids are
+    split into ranges at approximate quantiles, and an id at which several quantiles lie into as many ranges of that hash;
+    each range is sorted by itself and gets the first document of the range after it as a closing row: one short
+    table of a row per range, whatever the input's size.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63))).alias("key"))
+    rows = rows.withColumn("th", F.xxhash64("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(docs.select(F.col(id_col).cast("double").alias("key")).approxQuantile("key", [k / parts for k in range(1, parts)], 0.2 / parts)))
-    bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<double>")
-    rows = rows.select("id", "text", "key", F.size(F.filter(bounds, lambda b: b <= F.col("key").cast("double"))).alias("part"))
-    least = sorted((r.part, r.key) for r in rows.groupBy("part").agg(F.min("key").alias("key")).collect())  # a row per range
-    heads = rows.where(F.col("key").isin([k for _, k in least])).groupBy("key").agg(F.min("text").alias("text"))
-    after = spark.createDataFrame([(p, least[(i + 1) % len(least)][1]) for i, (p, _) in enumerate(least)], "part int, key bigint")
-    closing = after.join(heads, "key").select(F.lit(None).cast(kind).alias("id"), "text", F.lit(2**63 - 1).alias("key"), "part", F.lit(1).alias("closing"))
+    cuts = sorted(docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63))).cast("double").alias("key")).approxQuantile("key", [k / parts for k in range(1, parts)], 0.2 / parts))
+    bounds, key = F.array(*map(F.lit, cuts)).cast("array<double>"), F.col("key").cast("double")
+    times = F.size(F.filter(bounds, lambda b: b == key))
+    share = F.least(times, F.floor((F.col("th") / F.lit(2.0**64) + 0.5) * (times + 1)))
+    rows = rows.select("id", "text", "key", "th", (F.size(F.filter(bounds, lambda b: b < key)) + share).cast("int").alias("part"))
+    # a row per range
+    least = sorted((r.part, r.x.key, r.x.th) for r in rows.groupBy("part").agg(F.min(F.struct("key", "th")).alias("x")).collect())
+    heads = rows.where(F.col("key").isin([k for _, k, _ in least]) & F.col("th").isin([h for *_, h in least])).groupBy("key", "th").agg(F.min("text").alias("text"))
+    after = spark.createDataFrame([(p, *least[(i + 1) % len(least)][1:]) for i, (p, *_) in enumerate(least)], "part int, key bigint, th bigint")
+    closing = after.join(heads, ["key", "th"]).select(F.lit(None).cast(kind).alias("id"), "text", "key", "th", "part", F.lit(1).alias("closing"))
     ordered = (
-        rows.select("id", "text", "key", "part", F.lit(0).alias("closing"))
+        rows.select("id", "text", "key", "th", "part", F.lit(0).alias("closing"))
         .unionByName(closing)
         .repartitionById(parts, "part")
-        .sortWithinPartitions("part", "closing", "key", "text")
+        .sortWithinPartitions("part", "closing", "key", "th", "text")
     )
 
     def run(batches):

@@ -15,6 +15,7 @@ import xxhash
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusloom.llm import queries
@@ -22,7 +23,7 @@ from corpusloom.llm.anchored_pii import BASE, RANK, find_spans, luhn, parse_iban
 from corpusloom.llm.byte_bpe import load
 from corpusloom.llm.components import components
 from corpusloom.llm.compression_bands import Bands, base_counts, judge
-from corpusloom.llm.minhash import densify, edit, likeness, likeness_of, pack, signatures, unpack
+from corpusloom.llm.minhash import densify, edit, fingerprint_edits, likeness, likeness_of, pack, signatures, unpack
 from corpusloom.llm.run_index import RunIndex
 from corpusloom.llm.simhash import fingerprint, masks, near_pairs, simhash_groups
 from corpusloom.llm.substring_dedup import fragments, remove_repeats, sliding_min
@@ -228,6 +229,16 @@ def test_edited_documents(spark, texts):
         assert got[i].near_edited == likeness(got[i].fingerprint, got[i].edited_fingerprint)
 
 
+def test_many_rows_of_one_id(spark, texts):
+    rng = random.Random(6)
+    rows = [(7, f"{t} {k}") for k, t in enumerate(texts.values())] + [(k % 9, f"short {rng.random()}") for k in range(60)] + [(None, None), (None, "x"), (7, ""), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]], r[1] or ""))
+    want = Counter((i, hashlib.sha256(edit(t or "", u or "").encode()).hexdigest()) for (i, t), (_, u) in zip(order, order[1:] + order[:1]))
+    assert Counter((r.doc_id, r.edited_sha256) for r in fingerprint_edits(df).collect()) == want
+
+
 # --- 7: token files
 def test_blocks():
     rng = np.random.default_rng(0)
