@@ -33,7 +33,7 @@ from corpusloom.llm.common import cut, fresh, map_batches, map_columns, text_or_
 from corpusloom.llm.components import components
 
 CHUNK = 4096
-BATCH_ROWS = 1 << 18
+BATCH_ROWS = 1 << 17
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -222,7 +222,7 @@ def link(fps: DataFrame, n_fps: int, radius: int = 4, chunk: int = CHUNK) -> Dat
             return [*(x[:stop] for x in cols), run_id[:stop]], [x[stop:] for x in cols], new.any()
 
         for lists in batches:
-            held.append([np.asarray(x, np.int64) for x in lists])
+            held.append([x.to_numpy(zero_copy_only=False).astype(np.int64) for x in lists])
             size += len(lists[0])
             if size >= BATCH_ROWS:
                 part, rest, more = ready(held, False)
@@ -233,7 +233,7 @@ def link(fps: DataFrame, n_fps: int, radius: int = 4, chunk: int = CHUNK) -> Dat
             yield compare(ready(held, True)[0])
 
     ordered = rows.repartition(*group).sortWithinPartitions(*group)
-    return map_batches(ordered, [*group, "fp", "n", "side"], "fp bigint, near bigint, root bigint", run)
+    return map_batches(ordered, [*group, "fp", "n", "side"], "fp bigint, near bigint, root bigint", run, as_lists=False)
 
 
 def _classes(ids: DataFrame, radius: int, chunk: int) -> DataFrame:
