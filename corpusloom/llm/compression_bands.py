@@ -4,6 +4,13 @@ A document passes when its word rules hold and its compression ratio (compressed
 bytes) lies inside the band for its length, and no more than ``max_bad_chunks`` of its fixed
 chunks leave the chunk band. Too low a ratio means repetition, too high a ratio means noise.
 
+Short texts compress less, so the upper limits fall with length. Each lies between prose and random base64
+or alphanumerics in words (0.85 in 256 bytes, 0.77 in 1 KiB, 0.74 in 4 KiB), and above random words of small
+letters, which no prose in an alphabet exceeds. Texts under ``small_below`` bytes are cut into chunks of 256 bytes,
+longer ones into chunks of 1 KiB; the last chunk reaches back, so that no byte goes unjudged. Under 256
+bytes the whole is the only chunk. Noise within ``max_bad_chunks`` of the chunks can pass. Signs of three bytes and more
+compress less than letters, so a limit rises with their share of the bytes, up to the ``wide`` one.
+
 Defined cases: a null text has no words, fails the base rules and is rejected, as is an empty
 one. Rows with equal ids or texts are judged one by one. An empty table gives an empty result.
 Only the two named columns are read, so further columns of any name don't matter. The text is
@@ -21,25 +28,38 @@ from pyspark.sql import DataFrame
 from corpusloom.llm.common import SPACE_CHARS, map_columns
 
 SYMBOLS = b"#*$%&|<>"
+#: First bytes of signs of three and four bytes.
+WIDE_LEADS = bytes(range(0xE0, 0x100))
 
 
 @dataclass(frozen=True)
 class Bands:
-    """``whole``: (bytes below which it holds, least ratio, greatest ratio), ascending; the last has no upper end."""
+    """``whole``: (bytes below which it holds, least ratio, greatest ratio), ascending; the last has no upper end.
+
+    ``wide``, ``wide_chunk``, ``wide_small_chunk``: the greatest ratios where every sign has three bytes or more.
+    """
 
     min_words: int = 50
     max_repeat_percent: int = 50
     level: int = 3
     whole: tuple[tuple[float, float, float], ...] = (
-        (256, 0.30, 9.0),
-        (1024, 0.34, 0.95),
-        (4096, 0.28, 0.74),
-        (16384, 0.25, 0.72),
-        (float("inf"), 0.20, 0.72),
+        (256, 0.30, 0.82),
+        (400, 0.34, 0.79),
+        (640, 0.34, 0.75),
+        (1024, 0.34, 0.71),
+        (4096, 0.28, 0.66),
+        (16384, 0.25, 0.62),
+        (float("inf"), 0.20, 0.60),
     )
+    wide: tuple[float, ...] = (1.0, 0.95, 0.95, 0.95, 0.74, 0.72, 0.72)
     chunk_bytes: int = 1024
-    chunk: tuple[float, float] = (0.30, 0.80)
-    max_bad_chunks: float = 0.4
+    chunk: tuple[float, float] = (0.30, 0.70)
+    wide_chunk: float = 0.80
+    small_below: int = 4096
+    small_chunk_bytes: int = 256
+    small_chunk: tuple[float, float] = (0.30, 0.85)
+    wide_small_chunk: float = 0.98
+    max_bad_chunks: float = 0.2
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -67,6 +87,14 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return n, chars, symbols, dup_lines, repeated
 
 
+def raised(data: bytes, high: float, wide: float) -> float:
+    """The upper limit for these bytes: between ``high`` and ``wide``, by the share of signs of three bytes or more."""
+    if data.isascii():
+        return high
+    share = min(1.0, 3 * (len(data) - len(data.translate(None, WIDE_LEADS))) / len(data))
+    return high + share * (wide - high)
+
+
 def judge(text: str | None, rules: Bands, squeeze) -> tuple:
     """The base counts, then base_failed, kept, the whole ratio and the share of chunks out of band."""
     counts = base_counts(text)
@@ -76,13 +104,14 @@ def judge(text: str | None, rules: Bands, squeeze) -> tuple:
     if not data:
         return (*counts, failed, False, None, None)
     ratio = len(squeeze(data)) / len(data)
-    low, high = next((a, b) for top, a, b in rules.whole if len(data) < top)
-    size = rules.chunk_bytes
-    # a tail shorter than half a chunk says little by itself; the whole-document ratio covers it
-    chunks = [data[i : i + size] for i in range(0, len(data), size) if len(data) - i >= size // 2]
-    low_c, high_c = rules.chunk
-    bad = sum(not low_c <= len(squeeze(c)) / len(c) <= high_c for c in chunks) / len(chunks) if len(chunks) > 1 else 0.0
-    return (*counts, failed, not failed and low <= ratio <= high and bad <= rules.max_bad_chunks, ratio, bad)
+    low, high, wide = next((a, b, w) for (top, a, b), w in zip(rules.whole, rules.wide) if len(data) < top)
+    small = len(data) < rules.small_below
+    size = rules.small_chunk_bytes if small else rules.chunk_bytes
+    low_c, high_c, wide_c = (*rules.small_chunk, rules.wide_small_chunk) if small else (*rules.chunk, rules.wide_chunk)
+    starts = [min(i, len(data) - size) for i in range(0, len(data), size)] if len(data) >= size else []
+    chunks = [data[i : i + size] for i in starts]
+    bad = sum(not low_c <= len(squeeze(c)) / size <= raised(c, high_c, wide_c) for c in chunks) / len(chunks) if chunks else 0.0
+    return (*counts, failed, not failed and low <= ratio <= raised(data, high, wide) and bad <= rules.max_bad_chunks, ratio, bad)
 
 
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "bad_chunks")

@@ -4,6 +4,7 @@ import hashlib
 import io
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -156,6 +157,36 @@ def test_bands(texts):
     assert kept(" ".join(w[:1 + i % 7] + "abcdefgh"[i % 8] for i, w in enumerate(words)))
 
 
+def test_bands_reject_noise(texts):
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(4)
+    kept = lambda t: judge(t, Bands(), squeeze)[6]
+    failed = lambda t: judge(t, Bands(), squeeze)[5]
+    alnum = string.ascii_letters + string.digits
+    for signs in (alnum, alnum + "+/", string.printable[:94]):
+        for n, low, high in ((50, 1, 3), (50, 2, 5), (80, 2, 8), (120, 5, 9), (700, 3, 12), (6000, 3, 12)):
+            for _ in range(20):
+                noise = " ".join("".join(rng.choices(signs, k=rng.randint(low, high))) for _ in range(n))
+                assert failed(noise) or not kept(noise), (signs, n, low, high)
+    long = [t for t in texts.values() if len(t) >= 3000 and kept(t)]
+    line = lambda: "".join(rng.choices(alnum + "+/", k=76))
+    for size in (600, 1500, 3000):
+        for t in long:
+            real = t[:size]
+            assert kept(real) or failed(real)
+            parts = real.split(". ")
+            for share in (0.4, 0.5, 0.7):
+                noise = [line() for _ in range(round(size * share / (1 - share) / 76))]
+                cuts = [round(k * len(parts) / len(noise)) for k in range(len(noise) + 1)]
+                mixed = "\n".join(x for k, n in enumerate(noise) for x in (*parts[cuts[k] : cuts[k + 1]], n))
+                assert not kept("\n".join([real, *noise])) and not kept(mixed), (size, share)
+    assert len(long) > 20
+    syllables = [chr(0xAC00 + 7 * k) for k in range(1200)]
+    weights = [1 / (k + 3) for k in range(1200)]
+    for n in (60, 150, 600, 5000):  # three bytes a sign
+        assert kept(" ".join("".join(rng.choices(syllables, weights, k=rng.randint(2, 4))) for _ in range(n)))
+
+
 # --- 4: personal data
 def brute_spans(t):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
