@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import cut, map_batches, shared_dir, text_or_empty
+from corpusloom.llm.common import SPACE_CHARS, cut, map_batches, shared_dir, text_or_empty
 
 MAGIC = b"CLF1"
 BLOCK = 4096
@@ -159,8 +159,10 @@ class WordTokenizer:
 
     In such a model words between blanks don't influence each other. Arrow splits a batch of texts into words and
     numbers the different ones; the library encodes those that the memo lacks, many in a call with a mark between
-    them; NumPy puts the texts' ids together. ``tests/llm`` holds this against encoding whole texts. Special tokens are
-    ordinary text. The memo is emptied when it is full.
+    them; NumPy puts the texts' ids together. ``tests/llm`` holds this against encoding whole texts. Words that are all
+    ASCII share the memo's entry with their small letters; others stand as they are, since the model composes letters
+    before it lower-cases. Added tokens in a text get the ids of their own that the library gives them: it finds them
+    before it lower-cases, so what only becomes one in small letters stands as it is too. The memo is emptied when it is full.
     """
 
     def __init__(self, path: str, memo_words: int = 600_000):
@@ -168,7 +170,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        if any(set(t) & set(SPACE_CHARS) for t in self.added):
+            raise ValueError("an added token has white space")
         self.memo_words = memo_words
         self.memo: dict[str, bytes] = {}
         mark = self.model.encode(MARK, add_special_tokens=False).ids
@@ -191,13 +195,17 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin (and the last one's end) among them. No text is null."""
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        as_is, small = coded.dictionary, pc.ascii_lower(coded.dictionary)
+        plain = pc.string_is_ascii(as_is)
+        for t in self.added:
+            plain = pc.and_not(plain, pc.match_substring(small, t.lower()))
+        words = pc.if_else(plain, small, as_is).to_pylist()
         if len(self.memo) > self.memo_words:
             self.memo = {}
         memo = self.memo
-        self._learn([w for w in words if w not in memo])
+        self._learn([w for w in dict.fromkeys(words) if w not in memo])
         parts = [memo[w] for w in words]
         table = np.frombuffer(b"".join(parts), "<u4")
         size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4

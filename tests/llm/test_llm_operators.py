@@ -310,6 +310,22 @@ def test_words_as_the_library_has_them(texts):
         assert got == [tok.model.encode(t, add_special_tokens=False).ids for t in batch]
 
 
+def test_ids_of_an_unaltered_model(texts):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(queries.WORD_BPE)
+    model, tok = Tokenizer.from_file(path), WordTokenizer(path)
+    marks = ["H\u0331amza", "J\u030c", "T\u0308", "W\u030a", "Y\u030a", "h\u0331amza", "E\u0301t\u00c9 été"]
+    odd = [*marks, "<|endoftext|>", "<|startoftext|>x", "a<|endoftext|>B", "A <|endoftext|> b", "<|ENDOFTEXT|>", "<|EndOfText|>\u0331", "\x01<|endoftext|>", "<|endoftext|>'s it's"]
+    rng = random.Random(7)
+    odd += ["".join(rng.choice([*marks, "<|endoftext|>", "<|ENDOFTEXT|>", " ", "\n", "x", "Y", "\u0331", "\u0301", "\x01", "\u212a", "Ω"]) for _ in range(rng.randint(1, 9))) for _ in range(2000)]
+    for batch in (odd, [" ".join(odd)], [t.upper() for t in texts.values()], list(texts.values())):
+        ids, at = tok.encode(pa.array(batch, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [model.encode(t, add_special_tokens=False).ids for t in batch]
+    assert model.encode(odd[0], add_special_tokens=False).ids == [327, 136, 365, 548, 2186]
+
+
 def test_token_query(spark, texts):
     got = {r.doc_id: r for r in queries.op7_token_files(spark, "/root/testdata/sf0.001").collect()}
     model, start = WordTokenizer(public_tokenizers.path(queries.WORD_BPE)).model, 0
