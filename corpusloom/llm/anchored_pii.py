@@ -6,8 +6,9 @@ validates what it found. No regular expression runs over the text.
 
 Kinds, in the order in which they are listed: email, ip, card, phone (their grammar is that of
 ``parse_*`` below: leftmost, non-overlapping in each kind, failing matches dropped), then what the
-cues add: iban (mod-97 checked), ssn (after a cue), url_login (``scheme://user:secret@host``) and
-secret (cloud keys, and the value after ``password=``, ``token =`` and like cues).
+cues add: iban (mod-97 checked), ssn (both within ``REACH`` code points after a cue, whatever stands between),
+url_login (``scheme://user:secret@host``) and secret (cloud keys, and the value after ``password=``, ``token =``
+and like cues). Cues are matched in any case. Account and passport numbers that have no check are no kind.
 
 Defined cases: a null text counts as empty and has no span. Spans of different kinds may overlap.
 Offsets are code points, the end exclusive. Equal rows give equal results, one per row; an empty
@@ -20,6 +21,7 @@ import hashlib
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from heapq import merge
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -40,32 +42,48 @@ VALUE = LETTERS | DIGITS | frozenset("_-+/=.~!$")
 
 SECRET_CUES = ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key")
 KEY_PREFIXES = {"AKIA": 16, "ASIA": 16, "ghp_": 36, "gho_": 36, "glpat-": 20}
-SSN_CUES = ("SSN", "ssn", "Social Security")
+SSN_CUES = ("ssn", "social security", "social-security")
+IBAN_CUES = ("iban", "account")
+#: Code points after a cue, or after a number found there, within which a number begins.
+REACH = 40
+
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 
 Span = tuple[int, int]
 
 
 @lru_cache(maxsize=1)
 def automaton() -> ahocorasick.Automaton:
-    """Anchors: '@', '+', each digit, '://', and the cues, with what they are for."""
+    """Anchors whose case counts: '@', '+', each digit, '://' and key prefixes, with what they are for."""
     a = ahocorasick.Automaton()
     for c in "@+":
         a.add_word(c, c)
     for c in DIGITS:
         a.add_word(c, "d")
     a.add_word("://", ":")
-    for cue in SECRET_CUES:
-        for form in (cue, cue.upper(), cue.capitalize()):
-            a.add_word(form, "s")
     for prefix in KEY_PREFIXES:
         a.add_word(prefix, "k" + prefix)
-    for cue in SSN_CUES:
-        a.add_word(cue, "n")
-    a.add_word("IBAN", "b")
     a.make_automaton()
     return a
 
 
+@lru_cache(maxsize=1)
+def cue_automaton() -> ahocorasick.Automaton:
+    """Cues in small letters, with what they are for."""
+    a = ahocorasick.Automaton()
+    for cues, what in ((SECRET_CUES, "s"), (SSN_CUES, "n"), (IBAN_CUES, "b")):
+        for cue in cues:
+            a.add_word(cue, what)
+    a.make_automaton()
+    return a
+
+
+def small_letters(text: str) -> str:
+    """The text in small letters, each at its old place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
 def run_right(text: str, i: int, allowed: frozenset) -> int:
     n = len(text)
     while i < n and text[i] in allowed:
@@ -136,27 +154,24 @@ def parse_secret(text: str, end: int) -> Span | None:
 
 
 def parse_iban(text: str, i: int) -> Span | None:
-    """The first IBAN that starts within 4 characters of ``i``: letters, check digits, 11 to 30 more, mod 97 is 1."""
-    i = run_right(text, i, frozenset(" :-"))
-    m = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}").match(text, i)
-    if not m:
-        return None
-    end = m.end()
-    while end > i:
-        flat = text[i:end].replace(" ", "")
-        if len(flat) < 15:
-            return None
-        if int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1:
-            return i, end
-        end -= 1
+    """The first IBAN that starts within ``REACH`` characters of ``i``: letters, check digits, 11 to 30 more, mod 97 is 1."""
+    for k in range(i, min(i + REACH + 1, len(text))):
+        if text[k] in LETTERS and (k == i or text[k - 1] not in WORD) and (m := IBAN.match(text, k)):
+            end = m.end()
+            while len(flat := text[k:end].replace(" ", "")) >= 15:
+                if text[end - 1] != " " and int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1:
+                    return k, end
+                end -= 1
     return None
 
 
 def parse_ssn(text: str, i: int) -> Span | None:
-    i = run_right(text, i, frozenset(" :#"))
-    s = text[i : i + 11]
-    if len(s) == 11 and s[3] == s[6] == "-" and s.replace("-", "").isdecimal() and len(s.replace("-", "")) == 9:
-        return (i, i + 11) if i + 11 == len(text) or text[i + 11] not in WORD else None
+    """The first number like 123-45-6789 that starts within ``REACH`` characters of ``i``."""
+    for k in range(i, min(i + REACH + 1, len(text) - 10)):
+        if text[k + 3] == text[k + 6] == "-" and (k == i or text[k - 1] not in WORD):
+            digits = text[k : k + 11].replace("-", "")
+            if len(digits) == 9 and digits.isdecimal() and (k + 11 == len(text) or text[k + 11] not in WORD):
+                return k, k + 11
     return None
 
 
@@ -178,8 +193,9 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         return []
     found: list[tuple[int, int, int, str]] = []
     add = lambda kind, span: found.append((span[0], RANK[kind], span[1], kind))
+    listed: set[tuple[str, Span]] = set()
     after_email = after_ip = after_card = after_phone = after_secret = 0
-    for at, what in automaton().iter(text):
+    for at, what in merge(automaton().iter(text), cue_automaton().iter(small_letters(text)), key=lambda x: x[0]):
         first = what[0]
         if first == "d":
             if at >= after_card:
@@ -215,8 +231,13 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                 add("secret", span)
         else:
             parse, kind = {"b": (parse_iban, "iban"), "n": (parse_ssn, "ssn"), ":": (parse_login, "url_login")}[first]
-            if span := parse(text, at - 2 if first == ":" else at + 1):
+            span = parse(text, at - 2 if first == ":" else at + 1)
+            if span and first != ":" and (kind, span) in listed:
+                continue  # an earlier cue has listed it and what follows
+            while span:
                 add(kind, span)
+                listed.add((kind, span))
+                span = parse(text, span[1]) if first != ":" else None
     return [(kind, a, b) for a, _, b, kind in sorted(set(found))]
 
 

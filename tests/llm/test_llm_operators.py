@@ -221,6 +221,19 @@ def test_added_spans():
     assert redact_text("to a@b.example.com now") == "to <EMAIL> now"
 
 
+def test_numbers_behind_cues():
+    ssn, iban = "123-45-6789", "DE89 3704 0044 0532 0130 00"
+    for t in ("Social Security number: {}", "SSN is {}", "SSN ({})", "Ssn no. {},", "social security {}", "SOCIAL SECURITY No. is [{}]", "İİ ssn:\n{}", "SSN#{}", "social-security number {}"):
+        assert find_spans(t.format(ssn)) == [("ssn", t.index("{}"), t.index("{}") + len(ssn))], t
+    for t in ("IBAN number: {}", "IBAN is {}", "IBAN={}", "Iban ({})", "my iban no. is {} AND more", "Account no. {}"):
+        for number in (iban, iban.replace(" ", "")):
+            assert [x for x in find_spans(t.format(number)) if x[0] == "iban"] == [("iban", t.index("{}"), t.index("{}") + len(number))], t
+    assert [k for k, _, _ in find_spans(f"SSNs: {ssn}, 078-05-1120 and 219-09-9999")] == ["ssn"] * 3
+    assert redact_text(f"Social Security number: {ssn}, IBAN is {iban}.") == "Social Security number: <SSN>, IBAN is <IBAN>."
+    assert find_spans("SSN " + "x " * 40 + ssn) == [] and find_spans(f"ssn 1{ssn} {ssn}0 IBAN is DE88 3704 0044 0532 0130 00") == []
+    assert [k for k, _, _ in find_spans("Api_Key = 0cab398dc11d1a2a")] == ["secret"]
+
+
 # --- 5: fingerprints
 def jaccard(a, b, k=12):
     one, two = ({t[i : i + k] for i in range(max(1, len(t) - k + 1))} for t in (a, b))
