@@ -3,7 +3,7 @@
 A URL's own verdict is that of the longest rule that fits its host (or a domain above it) and the start
 of its path. URLs without one take their class's verdict. Classes are the connected components of
 redirect and canonical-link edges: a page's ``<link rel="canonical">`` and ``<meta http-equiv="refresh">``
-targets, an optional table of redirects, and the redirects that sites make as a matter of course, which
+targets (resolved against the page's ``<base href>``, else its url, as in RFC 3986), an optional table of redirects, and the redirects that sites make as a matter of course, which
 ``node_of`` folds into one node: scheme, ``www.`` or ``m.`` in front, fragment, closing slash, default
 index page, tracking parameters. A class with an explicit allow is allowed, else one with a block is blocked, else allowed; so an allow
 takes precedence, and a rule that fits a URL itself takes precedence over its class.
@@ -95,19 +95,60 @@ def node_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed and written into the plan once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def without_dots(path: Column) -> Column:
+    """A path that begins with '/', its '.' and '..' segments resolved."""
+    parts = F.split(path, "/", -1)
+    # a dot segment at the end leaves the slash before it
+    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    step = lambda acc, p: F.when(p == ".", acc).when(p == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(p)))
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), step)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
+def resolve(base: Column, ref: Column) -> Column:
+    """The absolute URL of a reference on the page ``base``; null where there is none, as for ``mailto:`` or an empty one."""
+    return bound(base, lambda b: bound(ref, lambda t: bound(_joined(b, t), _absolute)))
+
+
+def _joined(base: Column, ref: Column) -> Column:
+    scheme, origin = F.regexp_extract(base, r"^[^:/?#]*:", 0), F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*", 0)
+    path, query = F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*([^?#]*)", 1), F.regexp_extract(base, r"^[^?#]*(\?[^#]*)?", 1)
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    return (
+        F.when(ref.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), ref)
+        .when(ref.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | (ref == "") | (origin == ""), F.lit(None))
+        .when(ref.startswith("//"), F.concat(scheme, ref))
+        .when(ref.startswith("#"), F.concat(origin, path, query, ref))
+        .when(ref.startswith("?"), F.concat(origin, path, ref))
+        .when(ref.startswith("/"), F.concat(origin, ref))
+        .otherwise(F.concat(origin, folder, ref))
+    )
+
+
+def _absolute(joined: Column) -> Column:
+    """The URL with the dot segments of its path resolved."""
+    start, own = F.regexp_extract(joined, r"^[^:/?#]*://[^/?#]*", 0), F.regexp_extract(joined, r"^[^:/?#]*://[^/?#]*([^?#]*)", 1)
+    tail = F.regexp_extract(joined, r"^[^?#]*([\s\S]*)$", 1)
+    return F.when(own.rlike(r"/\.\.?(/|$)"), F.concat(start, without_dots(own), tail)).otherwise(joined)
+
+
 def link_targets(url: Column, html: Column) -> Column:
     """The absolute targets of a page's canonical link and refresh."""
-    canonical = F.regexp_extract(html, r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
+    word = r"(?<![\w-])canonical(?![\w-])"
+    canonical = F.regexp_extract(html, rf"(?i)<link\b[^>]*\brel\s*=\s*(?:\"[^\">]*{word}|'[^'>]*{word}|{word})[^>]*>", 0)
     refresh = F.regexp_extract(html, r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
+    base_tag = F.regexp_extract(html, r"(?i)<base\b[^>]*\bhref\s*=[^>]*>", 0)
+    base = F.coalesce(resolve(url, F.regexp_extract(base_tag, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)), url)
     found = F.array(
         F.regexp_extract(canonical, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
         F.regexp_extract(refresh, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1),
     )
-    scheme, origin = F.regexp_extract(url, r"^[^:/?#]*:", 0), F.regexp_extract(url, r"^[^:/?#]*://[^/?#]*", 0)
-    absolute = F.transform(
-        found, lambda t: F.when(t.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), t).when(t.startswith("//"), F.concat(scheme, t)).when(t.startswith("/"), F.concat(origin, t))
-    )
-    return F.filter(absolute, lambda t: t.isNotNull())
+    return F.filter(F.transform(found, lambda t: resolve(base, t)), lambda t: t.isNotNull())
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

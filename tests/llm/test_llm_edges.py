@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from urllib.parse import urljoin
 
 import public_tokenizers
 import pytest
@@ -97,6 +98,25 @@ def test_op6(spark, monkeypatch):
     assert Counter(judge_urls(df, rules).collect()) == Counter(got)
 
 
+def test_op6_relative_targets(spark):
+    bases = ["http://h.example.com", "http://h.example.com/", "https://h.example.com/a/b/c.html?x=1#f", "http://h.example.com/a/b/"]
+    refs = ["page2.html", "../a/", "?id=3", "./", "..", ".", "../../../z", "x/./y/../w?q=../k", "/a/../b", "//o.org/fr/k", "http://o.org/q?r", "g;x=1/../y", "#top", "page.html#x:y", "/a?u=http://z"]
+    html = lambda ref, k: f'<link rel="canonical" href="{ref}">' if k % 2 else f"<meta http-equiv=refresh content='0; url={ref}'>"
+    rows = [(b, html(r, k), urljoin(b, r)) for b in bases for k, r in enumerate(refs)]
+    # urljoin keeps the dot segments of references with a host, RFC 3986 resolves them
+    rows += [(bases[2], html("//o.org/fr/../k", 1), "https://o.org/k"), (bases[2], html("http://o.org/p/../q?r", 0), "http://o.org/q?r"), (bases[3], html("a//b", 1), "http://h.example.com/a/b/a//b")]
+    rows += [(bases[2], '<base href="../k/"><link href=p rel=canonical>', "https://h.example.com/a/k/p")]
+    rows += [(bases[2], f"<link {rel} href=p.html>", "https://h.example.com/a/b/p.html") for rel in ('rel="alternate canonical"', "rel='canonical nofollow'", "REL=Canonical")]
+    rows += [(bases[2], f"<link {rel} href=p.html>", None) for rel in ('rel="alternate"', 'rel="non-canonical"', 'rel="alternate" title="canonical"')]
+    rows += [(b, html(r, 1), None) for b, r in ((bases[2], "mailto:a@b.org"), (bases[2], "javascript:x"), ("no scheme", "p.html"), (None, "p.html"))]
+    df = spark.createDataFrame(rows, "url string, html string, want string")
+    got = df.select("*", url_equivalence.link_targets(queries.F.col("url"), queries.F.col("html")).alias("got")).collect()
+    assert [r for r in got if r.got != ([] if r.want is None else [r.want])] == []
+    pages = [(1, "http://s.example.com/x/old.html", '<meta http-equiv="refresh" content="0; url=../de/new.html">'), (2, "http://s.example.com/x/free.html", "")]
+    by = {r.page_id: r.verdict for r in judge_urls(spark.createDataFrame(pages, "page_id bigint, url string, html string"), parse_rules(queries.RULES)).collect()}
+    assert by == {1: "block", 2: "allow"}
+
+
 def test_filters_keep_columns(docs, none):
     for f in (keep_good, keep_one, redact, lambda d: mix(d, queries.WEIGHTS, 1, max_epochs=2, share=(3, 2), domain=queries.domain_of_source())):
         assert f(docs).columns == docs.columns and f(docs).count() >= 0
