@@ -36,7 +36,7 @@ def domain_of_source():
 
 
 def op1_substring_dedup(spark, sf_dir):
-    return remove_repeats(documents(spark, sf_dir))
+    return remove_repeats(documents(spark, sf_dir), with_kept=True)
 
 
 def op2_dictionary_quality(spark, sf_dir):

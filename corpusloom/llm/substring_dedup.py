@@ -10,8 +10,9 @@ with one key make a fragment. The steps:
 4. For keys with several different contents, one copy of each content is fetched from its text and sent
    to its key's partition. There a run-length index (``run_index``) of a block of whole key groups gives
    matching statistics, which mark what is repeated. Only this step moves text, and only of such fragments.
-5. Key groups of over ``hot_bytes`` don't go to one task: their windows are hashed to 128 bits and counted
-   by a distributed aggregate, combined before the shuffle.
+5. Key groups of over ``hot_bytes`` don't go to one task: their fragments are cut anew by the next longer
+   gram of ``GRAMS``, and what lands in a group of its own, or in one small enough, goes through steps 2 to 4
+   again. The last gram is the window itself, where a group is one content and counting it is enough.
 6. Marks are gathered by row and joined to the texts once more.
 
 No cap on copies, partners or lengths: every repeated window is found. Results don't depend on where
@@ -25,6 +26,7 @@ bytes, so a removed span may cut a character; what is kept is bytes. An empty ta
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 import xxhash
@@ -36,7 +38,8 @@ from corpusloom.llm.minhash import mix, rolling
 from corpusloom.llm.run_index import MAX_BYTES, RunIndex
 
 LEAST = 400
-GRAM = 72
+#: Bytes of the grams whose least hash is a window's key; the first for all texts, the others for key groups that grew too large.
+GRAMS = (72, 136, 208, 280, 344)
 HOT_BYTES = 1_000_000
 SLICE = 1 << 20
 
@@ -53,7 +56,7 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
 
 
-def fragments(texts: list[bytes], least: int = LEAST, gram: int = GRAM):
+def fragments(texts: list[bytes], least: int = LEAST, gram: int = GRAMS[0]):
     """Yield (text number, start, length, key, whether the key's string occurs in it twice) for all fragments of the texts."""
     wide = least - gram + 1
     part, size, first = [], 0, 0
@@ -102,38 +105,66 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+RECORD = "m bigint, fh bigint, a bigint, b bigint, at int, len int, inner int, once int"
+
+
+def _add_records(out: dict, data: list[bytes], names, least: int, gram: int, content=slice(None)) -> None:
+    """Append the fragments of ``data``; ``names(i)`` gives (key so far or None, a, b, place, once) of the i-th. ``content``: the part hashed."""
+    digest = xxhash.xxh3_64_intdigest
+    for i, s, n, key, inner in fragments(data, least, gram):
+        m, a, b, at, once = names(i)
+        if m is not None:
+            key = digest(struct.pack("<qQ", m, key))
+        for k, v in zip(out, (_signed(key), _signed(digest(data[i][s : s + n][content])), a, b, at + s, n, inner, once)):
+            out[k].append(v)
+
+
+def _empty() -> dict:
+    return {c.split()[0]: [] for c in RECORD.split(", ")}
+
+
 def _records(rows: DataFrame, least: int, gram: int) -> DataFrame:
+    """The fragment records of all texts."""
+
     def run(batches):
-        digest = xxhash.xxh3_64_intdigest
         for a, b, texts in batches:
             for k in range(0, len(texts), 512):
-                data = [t.encode("utf-8", "surrogatepass") for t in texts[k : k + 512]]
-                out = {"m": [], "fh": [], "a": [], "b": [], "at": [], "len": [], "inner": []}
-                for i, s, n, key, inner in fragments(data, least, gram):
-                    out["m"].append(_signed(key))
-                    out["fh"].append(_signed(digest(data[i][s : s + n])))
-                    out["a"].append(a[k + i])
-                    out["b"].append(b[k + i])
-                    out["at"].append(s)
-                    out["len"].append(n)
-                    out["inner"].append(inner)
+                out = _empty()
+                _add_records(out, [t.encode("utf-8", "surrogatepass") for t in texts[k : k + 512]], lambda i, k=k: (None, a[k + i], b[k + i], 0, 1), least, gram)
                 yield out
 
-    return map_batches(rows, ("a", "b", "text"), "m bigint, fh bigint, a bigint, b bigint, at int, len int, inner int", run)
+    return map_batches(rows, ("a", "b", "text"), RECORD, run)
+
+
+def _finer(found: DataFrame, least: int, gram: int) -> DataFrame:
+    """The fragments of fetched fragments (m, a, b, at, once, data) by another gram; only equal old and new keys meet.
+
+    With the window itself as the gram a fragment is a run of equal windows, of which the first one is hashed.
+    """
+    content = slice(least) if gram == least else slice(None)
+
+    def run(batches):
+        for m, a, b, at, once, data in batches:
+            out = _empty()
+            _add_records(out, data, lambda i: (m[i], a[i], b[i], at[i], once[i]), least, gram, content)
+            yield out
+
+    return map_batches(found, ("m", "a", "b", "at", "once", "data"), RECORD, run)
 
 
 def _fetch(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of the wanted fragments (m, a, b, at, len, once)."""
+    """The bytes of the wanted fragments (m, a, b, at, len, once), from one row of each name."""
     lists = wanted.groupBy("a", "b").agg(F.collect_list(F.struct("m", "at", "len", "once")).alias("x"))
-    joined = rows.join(lists, ["a", "b"]).select("id", "text", "a", "b", "x.m", "x.at", "x.len", "x.once")
+    # rows of one name lie together after the join, so that dropping all but one needs no further exchange
+    joined = rows.join(lists, ["a", "b"]).dropDuplicates(["a", "b"]).select("text", "a", "b", "x.m", "x.at", "x.len", "x.once")
 
     def run(batches):
-        for _, texts, a, b, m, at, size, once in batches:
+        for texts, a, b, m, at, size, once in batches:
             for k in range(len(texts)):
                 data, n = texts[k].encode("utf-8", "surrogatepass"), len(m[k])
                 yield {"m": m[k], "a": [a[k]] * n, "b": [b[k]] * n, "at": at[k], "once": once[k], "data": [data[s : s + z] for s, z in zip(at[k], size[k])]}
 
-    return map_batches(joined, ("id", "text", "a", "b", "m", "at", "len", "once"), "m bigint, a bigint, b bigint, at int, once int, data binary", _merge_small(run))
+    return map_batches(joined, ("text", "a", "b", "m", "at", "len", "once"), "m bigint, a bigint, b bigint, at int, once int, data binary", _merge_small(run))
 
 
 def _merge_small(fn, rows: int = 2000):
@@ -186,56 +217,44 @@ def _indexed(found: DataFrame, least: int) -> DataFrame:
         if block or group:
             yield marks(block + group)
 
-    ordered = found.repartition("m").sortWithinPartitions("m")
+    # the work is in Python and not in proportion to bytes: keep the partitions that coalescing by size would merge
+    ordered = found.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "m").sortWithinPartitions("m")
     return map_batches(ordered, ("m", "a", "b", "at", "once", "data"), "a bigint, b bigint, s int, e int", run)
 
 
-def _counted(found: DataFrame, least: int) -> DataFrame:
-    """The same for key groups of any size: windows are hashed and counted."""
-
-    def run(batches):
-        digest = xxhash.xxh3_128_intdigest
-        for _, a, b, at, once, data in batches:
-            for k in range(len(data)):
-                view = memoryview(data[k])
-                for i in range(0, n := len(view) - least + 1, 4096):
-                    h = [digest(view[j : j + least]) for j in range(i, min(i + 4096, n))]
-                    yield {
-                        "m": [_signed(x >> 64) for x in h],
-                        "h": [_signed(x & (2**64 - 1)) for x in h],
-                        "a": [a[k]] * len(h),
-                        "b": [b[k]] * len(h),
-                        "s": range(at[k] + i, at[k] + i + len(h)),
-                        "once": [once[k]] * len(h),
-                    }
-
-    windows = map_batches(found, ("m", "a", "b", "at", "once", "data"), "m bigint, h bigint, a bigint, b bigint, s int, once int", _merge_small(run, 10_000))
-    twice = windows.groupBy("m", "h").count().where("count > 1").select("m", "h")
-    return windows.where("once = 1").join(twice, ["m", "h"], "left_semi").select("a", "b", "s", (F.col("s") + least).alias("e"))
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, gram: int = GRAM, hot_bytes: int = HOT_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(rows, marks): rows (id, text, a, b), a and b being a row's 128-bit name; marks (a, b, s, e), spans of bytes that may overlap."""
-    if not 0 < gram <= least or hot_bytes > MAX_BYTES:
-        raise ValueError("gram must be within 1..least, and hot_bytes at most a block")
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    rows = rows.select("id", "text", F.xxhash64("id").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"))
-    every = _records(rows.where(F.octet_length("text") >= least), least, gram)
-    several = every.groupBy("m").agg(F.count("*").alias("n"), F.max("inner").alias("inner")).where("n > 1 OR inner = 1").select("m")
-    live = cut(every.join(several, "m", "left_semi"))
-    content = live.groupBy("m", "fh").agg(F.count("*").alias("n"), F.min(F.struct("a", "b", "at", "len", "inner")).alias("x"))
-    content = cut(content.select("m", "fh", "n", "x.*"))
+def _sorted_out(records: DataFrame, hot_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """From records: (marks of fragments whose whole content occurs twice, fragments to be compared, with ``hot``)."""
+    several = records.groupBy("m").agg(F.count("*").alias("n"), F.max("inner").alias("inner")).where("n > 1 OR inner = 1").select("m")
+    live = cut(records.join(several, "m", "left_semi"))
+    content = live.groupBy("m", "fh").agg(F.count("*").alias("n"), F.min(F.struct("a", "b", "at", "len", "inner", "once")).alias("x"))
+    content = cut(content.select("m", "fh", "n", "x.*").withColumn("once", F.when(F.col("n") > 1, 0).otherwise(F.col("once"))))
     groups = content.groupBy("m").agg(
-        F.count("*").alias("kinds"), F.max("inner").alias("some"), F.sum((F.col("n") == 1).cast("int")).alias("open"), F.sum(F.col("len").cast("bigint") + 1).alias("bytes")
+        F.count("*").alias("kinds"), F.max("inner").alias("some"), F.max("once").alias("open"), F.sum(F.col("len").cast("bigint") + 1).alias("bytes")
     )
     groups = groups.where("(kinds > 1 OR some = 1) AND open > 0").select("m", (F.col("bytes") > hot_bytes).alias("hot"))
-    wanted = cut(content.join(groups, "m").select("m", "a", "b", "at", "len", (F.col("n") == 1).cast("int").alias("once"), "hot"))
+    wanted = cut(content.join(groups, "m").select("m", "a", "b", "at", "len", "once", "hot"))
     copies = live.join(content.where("n > 1").select("m", "fh"), ["m", "fh"], "left_semi")
-    marks = copies.select("a", "b", F.col("at").alias("s"), (F.col("at") + F.col("len")).alias("e"))
-    marks = marks.unionByName(_indexed(_fetch(rows, wanted.where("NOT hot").drop("hot")), least))
-    if not (hot := wanted.where("hot")).isEmpty():
-        marks = marks.unionByName(_counted(_fetch(rows, hot.drop("hot")), least))
-    return rows, marks
+    return copies.select("a", "b", F.col("at").alias("s"), (F.col("at") + F.col("len")).alias("e")), wanted
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, grams: tuple[int, ...] = GRAMS, hot_bytes: int = HOT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(rows, marks): rows (id, text, a, b), a and b being a row's 128-bit name; marks (a, b, s, e), spans of bytes that may overlap."""
+    if not grams or list(grams) != sorted({*grams}) or not 0 < grams[0] <= grams[-1] <= least or hot_bytes > MAX_BYTES:
+        raise ValueError("grams must rise within 1..least, and hot_bytes be a block at most")
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    rows = rows.select("id", "text", F.xxhash64("id").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"))
+    marks, records = None, _records(rows.where(F.octet_length("text") >= least), least, grams[0])
+    for gram in (*grams[1:], least):
+        copied, wanted = _sorted_out(records, hot_bytes)
+        copied = copied.unionByName(_indexed(_fetch(rows, wanted.where("NOT hot").drop("hot")), least))
+        marks = copied if marks is None else marks.unionByName(copied)
+        if (hot := wanted.where("hot")).isEmpty():
+            return rows, marks
+        records = _finer(_fetch(rows, hot.drop("hot")), least, gram)
+    # by whole windows: what agrees in key and content is one string
+    twice = records.groupBy("m", "fh").agg(F.count("*").alias("n"), F.max("inner").alias("inner")).where("n > 1 OR inner = 1").select("m", "fh")
+    last = records.where("once = 1").join(twice, ["m", "fh"], "left_semi").select("a", "b", F.col("at").alias("s"), (F.col("at") + F.col("len")).alias("e"))
+    return rows, marks.unionByName(last)
 
 
 def merge_spans(packed: list[int]) -> list[tuple[int, int]]:
@@ -250,16 +269,17 @@ def merge_spans(packed: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, gram: int = GRAM, hot_bytes: int = HOT_BYTES, with_kept: bool = False) -> DataFrame:
-    """Per document: n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, if ``with_kept``, the kept bytes."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, grams: tuple[int, ...] = GRAMS, hot_bytes: int = HOT_BYTES, with_kept: bool = False) -> DataFrame:
+    """Per document: n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, if ``with_kept``, ``text``: what is kept, without the
+    parts of characters that a removed span cut."""
     kind = docs.schema[id_col].dataType.simpleString()
-    rows, marks = repeated_spans(docs, id_col, text_col, least, gram, hot_bytes)
-    lists = marks.groupBy("a", "b").agg(F.collect_list(F.shiftleft(F.col("s").cast("bigint"), 31).bitwiseOR(F.col("e").cast("bigint"))).alias("x"))
+    rows, marks = repeated_spans(docs, id_col, text_col, least, grams, hot_bytes)
+    lists = marks.groupBy("a", "b").agg(F.collect_set(F.shiftleft(F.col("s").cast("bigint"), 31).bitwiseOR(F.col("e").cast("bigint"))).alias("x"))
     joined = rows.join(lists, ["a", "b"], "left").select("id", "text", "x")
 
     def run(batches):
         for ids, texts, packed in batches:
-            out = {"id": ids, "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []} | ({"kept": []} if with_kept else {})
+            out = {"id": ids, "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []} | ({"text": []} if with_kept else {})
             for t, p in zip(texts, packed):
                 data = t.encode("utf-8", "surrogatepass")
                 spans, parts, at = merge_spans(p or []), [], 0
@@ -272,8 +292,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out["n_spans"].append(len(spans))
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 if with_kept:
-                    out["kept"].append(kept)
+                    out["text"].append(kept.decode("utf-8", "ignore") if spans else t)
             yield out
 
-    schema = f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_kept
+    schema = f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * with_kept
     return map_batches(joined, ("id", "text", "x"), schema, run).withColumnRenamed("id", id_col)

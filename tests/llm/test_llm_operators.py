@@ -27,7 +27,7 @@ from corpusloom.llm.compression_bands import Bands, base_counts, judge
 from corpusloom.llm.minhash import densify, edit, fingerprint_edits, likeness, likeness_of, pack, signatures, unpack
 from corpusloom.llm.run_index import RunIndex
 from corpusloom.llm.simhash import fingerprint, masks, near_pairs, simhash_groups
-from corpusloom.llm.substring_dedup import fragments, remove_repeats, sliding_min
+from corpusloom.llm.substring_dedup import GRAMS, fragments, remove_repeats, sliding_min
 from corpusloom.llm.token_files import FileWriter, WordTokenizer, pack_block, read_file, unpack_block
 
 
@@ -82,8 +82,8 @@ def brute_removal(data, least):
     return out
 
 
-@pytest.mark.parametrize("least,gram,hot", [(400, 72, 1_000_000), (400, 72, 60), (20, 8, 1_000_000), (20, 20, 50), (5, 1, 1_000_000)])
-def test_removal(spark, least, gram, hot):
+@pytest.mark.parametrize("least,grams,hot", [(400, (72,), 1_000_000), (400, GRAMS, 500), (400, GRAMS, 60), (20, (8,), 1_000_000), (20, (6, 12, 16), 50), (20, (20,), 50), (5, (1,), 1_000_000), (5, (1, 3), 8)])
+def test_removal(spark, least, grams, hot):
     rng = random.Random(least)
     parts = ["a" * 1000, "ab" * 700, "", None, "xyz" * 300, "a" * 399, "q" * 401, "a" * 1000, "é" * 500]
     parts += ["".join(rng.choice("ab") for _ in range(60)) * rng.randint(1, 4) for _ in range(30)]
@@ -92,7 +92,38 @@ def test_removal(spark, least, gram, hot):
     ids = [k if k % 7 else 0 for k in range(len(parts))]
     df = spark.createDataFrame(list(zip(ids, parts)), "doc_id bigint, text string")
     want = sorted((i, *b) for i, b in zip(ids, brute_removal([(x or "").encode() for x in parts], least)))
-    assert sorted(map(tuple, remove_repeats(df, least=least, gram=gram, hot_bytes=hot).collect())) == want
+    assert sorted(map(tuple, remove_repeats(df, least=least, grams=grams, hot_bytes=hot).collect())) == want
+
+
+def test_removal_of_hot_passages(spark):
+    """A passage in many different texts: its key group outgrows one index and is cut by longer grams."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
+    passage = " ".join(word() for _ in range(75))
+    parts = [" ".join(word() for _ in range(rng.randint(0, 160))) + passage[rng.randint(0, 30) :] + " ".join(word() for _ in range(rng.randint(0, 160))) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(parts)), "doc_id bigint, text string")
+    want = [(i, *b) for i, b in enumerate(brute_removal([x.encode() for x in parts], 400))]
+    assert sum(r[2] > 0 for r in want) > 100
+    for hot in (1_000_000, 20_000, 2_000):
+        assert sorted(map(tuple, remove_repeats(df, hot_bytes=hot).collect())) == want
+
+
+def test_removal_with_many_equal_rows(spark):
+    """Rows equal in id and text are fetched once, and beside them a copy that is a little different."""
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(1500))
+    rows = [(1, text)] * 5000 + [(2, text[:700] + "!" + text[700:])] + [(3, "é" * 150 + text[100:700])]
+    out = remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), with_kept=True)
+    got = {r.doc_id: (r.n, r.n_removed, r.text) for r in out.groupBy("doc_id", "n_removed", "text").agg(F.count("*").alias("n")).collect()}
+    assert got == {1: (5000, 1500, ""), 2: (1, 1500, "!"), 3: (1, 600, "é" * 150)}
+
+
+def test_kept_text_has_whole_characters(spark):
+    rng = random.Random(7)
+    shared = "".join(rng.choice("äöüß") for _ in range(250))
+    rows = [(1, "x" + shared[:-1]), (2, shared[1:] + "y")]  # what is shared begins inside a character of neither
+    got = {r.doc_id: r.text for r in remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), with_kept=True).collect()}
+    assert got == {1: "x" + shared[0], 2: shared[-1] + "y"}
 
 
 def test_removal_on_documents(table, texts):
