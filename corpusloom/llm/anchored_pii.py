@@ -18,7 +18,6 @@ table gives an empty result. Texts are searched whole, in time linear in their l
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable
 from functools import lru_cache
 from heapq import merge
@@ -39,6 +38,10 @@ LABEL = LETTERS | DIGITS | frozenset("-")
 PHONE = DIGITS | frozenset(" ().-")
 WORD = LETTERS | DIGITS | frozenset("_")
 VALUE = LETTERS | DIGITS | frozenset("_-+/=.~!$")
+QUOTES = frozenset("\"' ")
+LOGIN = LOCAL | frozenset(":")
+HOST = LABEL | frozenset(".")
+KEY = WORD | frozenset("-")
 
 SECRET_CUES = ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key")
 KEY_PREFIXES = {"AKIA": 16, "ASIA": 16, "ghp_": 36, "gho_": 36, "glpat-": 20}
@@ -47,7 +50,7 @@ IBAN_CUES = ("iban", "account")
 #: Code points after a cue, or after a number found there, within which a number begins.
 REACH = 40
 
-IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+CAPITALS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 Span = tuple[int, int]
 
@@ -84,8 +87,9 @@ def small_letters(text: str) -> str:
     return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
 
 
-def run_right(text: str, i: int, allowed: frozenset) -> int:
-    n = len(text)
+def run_right(text: str, i: int, allowed: frozenset, most: int = 1 << 62) -> int:
+    """The end of the run of allowed characters from ``i`` on, ``i + most`` at most."""
+    n = min(len(text), i + most)
     while i < n and text[i] in allowed:
         i += 1
     return i
@@ -141,23 +145,50 @@ def parse_phone(text: str, plus: int) -> Span | None:
     return (plus, end) if end - plus >= 4 else None
 
 
-def parse_secret(text: str, end: int) -> Span | None:
+class ValueRuns:
+    """Ends of the runs of value characters. The run scanned last is remembered, so cues inside one don't scan it again."""
+
+    def __init__(self, text: str):
+        self.text, self.start, self.end, self.stop, self.digit = text, 0, 0, 0, -1
+
+    def at(self, i: int) -> tuple[int, bool]:
+        """Where the run from ``i`` on ends, less closing dots and exclamation marks, and whether it has a digit."""
+        if not self.start <= i < self.end:
+            self.start, self.end = i, run_right(self.text, i, VALUE)
+            run = self.text[i : self.end]
+            self.stop = i + len(run.rstrip(".!"))
+            self.digit = i + max(map(run.rfind, "0123456789"))
+        return max(i, self.stop), i <= self.digit < self.stop
+
+
+def parse_secret(text: str, end: int, runs: ValueRuns) -> Span | None:
     """The value after a cue that ends at ``end``: blanks, '=' or ':', blanks, quotes; 8 or more characters with a digit."""
-    i = run_right(text, end, frozenset("\"' "))
+    i = run_right(text, end, QUOTES)
     if i >= len(text) or text[i] not in "=:":
         return None
-    i = run_right(text, i + 1, frozenset("\"' "))
-    stop = run_right(text, i, VALUE)
-    while stop > i and text[stop - 1] in ".!":
-        stop -= 1
-    return (i, stop) if stop - i >= 8 and any(c in DIGITS for c in text[i:stop]) else None
+    i = run_right(text, i + 1, QUOTES)
+    stop, digit = runs.at(i)
+    return (i, stop) if stop - i >= 8 and digit else None
+
+
+def iban_end(text: str, k: int) -> int:
+    """The end of two capitals, two digits and 11 to 30 capitals or digits more, each after one blank at most; ``k`` if there is none."""
+    if not (text[k] in CAPITALS and text[k + 1 : k + 2] in CAPITALS and text[k + 2 : k + 3] in DIGITS and text[k + 3 : k + 4] in DIGITS):
+        return k
+    end, n = k + 4, 0
+    while n < 30:
+        nxt = end + (text[end : end + 1] == " ")
+        if text[nxt : nxt + 1] not in CAPITALS and text[nxt : nxt + 1] not in DIGITS:
+            break
+        end, n = nxt + 1, n + 1
+    return end if n >= 11 else k
 
 
 def parse_iban(text: str, i: int) -> Span | None:
     """The first IBAN that starts within ``REACH`` characters of ``i``: letters, check digits, 11 to 30 more, mod 97 is 1."""
     for k in range(i, min(i + REACH + 1, len(text))):
-        if text[k] in LETTERS and (k == i or text[k - 1] not in WORD) and (m := IBAN.match(text, k)):
-            end = m.end()
+        if text[k] in CAPITALS and (k == i or text[k - 1] not in WORD):
+            end = iban_end(text, k)
             while len(flat := text[k:end].replace(" ", "")) >= 15:
                 if text[end - 1] != " " and int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1:
                     return k, end
@@ -180,10 +211,10 @@ def parse_login(text: str, colon: int) -> Span | None:
     start = colon
     while start > 0 and text[start - 1] in LETTERS:
         start -= 1
-    host = run_right(text, colon + 3, frozenset(LOCAL | {":"}))
+    host = run_right(text, colon + 3, LOGIN)
     if start == colon or host >= len(text) or text[host] != "@" or ":" not in text[colon + 3 : host]:
         return None
-    end = run_right(text, host + 1, LABEL | {"."})
+    end = run_right(text, host + 1, HOST)
     return (start, end) if end > host + 1 else None
 
 
@@ -194,6 +225,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     found: list[tuple[int, int, int, str]] = []
     add = lambda kind, span: found.append((span[0], RANK[kind], span[1], kind))
     listed: set[tuple[str, Span]] = set()
+    values = ValueRuns(text)
     after_email = after_ip = after_card = after_phone = after_secret = 0
     for at, what in merge(automaton().iter(text), cue_automaton().iter(small_letters(text)), key=lambda x: x[0]):
         first = what[0]
@@ -221,12 +253,12 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                     add("phone", span)
         elif first == "k":
             start, size = at + 1 - len(what) + 1, KEY_PREFIXES[what[1:]]
-            end = run_right(text, at + 1, LETTERS | DIGITS | {"_", "-"})
+            end = run_right(text, at + 1, KEY, size + 1)
             if (start == 0 or text[start - 1] not in WORD) and end - at - 1 == size and start >= after_secret:
                 after_secret = end
                 add("secret", (start, end))
         elif first == "s":
-            if (span := parse_secret(text, at + 1)) and span[0] >= after_secret:
+            if (span := parse_secret(text, at + 1, values)) and span[0] >= after_secret:
                 after_secret = span[1]
                 add("secret", span)
         else:
@@ -243,7 +275,10 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 def redact_text(text: str | None, mask: Callable[[str], str] = lambda kind: f"<{kind.upper()}>") -> str | None:
     """The text with every span replaced by its kind's mark; overlapping spans become one, marked by the first."""
-    spans = find_spans(text)
+    return masked(text, find_spans(text), mask)
+
+
+def masked(text: str | None, spans: list[tuple[str, int, int]], mask: Callable[[str], str] = lambda kind: f"<{kind.upper()}>") -> str | None:
     if not spans:
         return text
     parts, at = [], 0
@@ -258,21 +293,24 @@ def show(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_email, n_ip, n_card, n_phone, base_sha256, spans. A scan, no shuffle."""
+def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """One row per document: id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans and, if ``with_text``, the masked text. A scan, no shuffle."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def batch(ids, texts):
         found = [find_spans(t) for t in texts]
         base = [[s for s in x if s[0] in BASE] for x in found]
         out = {"id": ids, "spans": [show(x) for x in found]}
+        out["n_spans"] = [len(x) for x in found]
+        if with_text:
+            out["text"] = [masked(t, x) for t, x in zip(texts, found)]
         out["base_sha256"] = [hashlib.sha256(show(x).encode()).hexdigest() for x in base]
         return out | {f"n_{k}": [sum(s[0] == k for s in x) for x in base] for k in BASE}
 
     out = map_columns(
         docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text"),
         ("id", "text"),
-        f"id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+        f"id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_spans bigint" + ", text string" * with_text,
         batch,
     )
     return out.withColumnRenamed("id", id_col)

@@ -51,7 +51,7 @@ def op3_compression_bands(spark, sf_dir):
 
 
 def op4_anchored_pii(spark, sf_dir):
-    return pii_spans(documents(spark, sf_dir))
+    return pii_spans(documents(spark, sf_dir), with_text=True)
 
 
 def op5_minhash(spark, sf_dir):
