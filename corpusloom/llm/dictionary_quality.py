@@ -1,19 +1,18 @@
 """Quality scores from zstandard dictionaries.
 
-Two dictionaries are built, from good and from bad labelled texts. A text is compressed with either
-and with none; (bytes with the bad dictionary - bytes with the good one) / bytes with none is large
-for text that resembles good text. A logistic calibration on held-back labelled rows turns that
-difference into a probability; it also sees the text's own compression ratio and length, since the
-difference shrinks for text that repeats itself and spreads for short text.
-
-Bounds, all parameters: ``max_rows`` labelled rows of each class, those of smallest hash of the id, and of
-these the texts of ``max_text_bytes`` at most; the dictionaries use every second one of them, cut into samples of ``sample_bytes`` up to
-``max_bytes`` of a class; the calibration uses the other half. These rows are what comes to the driver.
-Nothing but the text of a document enters its score.
-
-Defined cases: null and empty texts score as texts of length 0, by the calibration's intercept alone.
-Rows with a null label or id, and those that ``learn_from`` leaves out, teach nothing; repeated labels
-of a document with one value count once, contrary ones not at all. If a class has too few rows for a
+Two dictionaries are built, from good and from bad labelled texts. A text is compressed with either, in chunks of
+``chunk_bytes``, so that a text that repeats itself, or a long one, can't do without the dictionary after its first lines.
+(Bytes with the bad dictionary - bytes with the good one) / bytes of the text is large for text that resembles good text.
+A logistic calibration on held-back labelled rows turns that difference into a probability, with an intercept and a slope
+that follow the logarithm of the length, as the difference spreads for short texts. Nothing else enters a score.
+
+Bounds, all parameters: ``max_rows`` labelled ids of each class, those of smallest hash, one text of ``max_text_bytes`` at most
+for each, and of these as many as fit in ``max_class_bytes``. Of four of them three go into the dictionaries, cut into samples
+of ``sample_bytes`` up to ``max_bytes`` of a class, and one into the calibration. These texts are what comes to the driver.
+
+Defined cases: null and empty texts score by the calibration's intercept alone. Rows with a null label or id, and
+those that ``learn_from`` leaves out, teach nothing; repeated labels of a document with one value count once, contrary ones not
+at all; of several rows with a labelled id the text of smallest hash teaches. If a class has too few rows for a
 dictionary the score is the labelled share of good rows, 0.5 if there is none. Equal texts score alike. An
 empty table gives an empty result.
 """
@@ -27,6 +26,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusloom.llm.common import map_batches, text_or_empty
 
@@ -35,6 +35,8 @@ from corpusloom.llm.common import map_batches, text_or_empty
 class Settings:
     max_rows: int = 3000
     max_text_bytes: int = 65_536
+    max_class_bytes: int = 32_000_000
+    chunk_bytes: int = 128
     sample_bytes: int = 1024
     max_bytes: int = 8_000_000
     dict_bytes: int = 112_640
@@ -49,37 +51,40 @@ class Model:
     good: bytes
     bad: bytes
     level: int
+    chunk_bytes: int
     weights: tuple[float, ...]
 
     def scorer(self):
         """A function from a text to its score."""
-        plain = zstandard.ZstdCompressor(level=self.level).compress
         if not self.good:
             return lambda text: self.weights[0]
-        squeeze = []
-        for data in (self.good, self.bad):
-            d = zstandard.ZstdCompressionDict(data)
-            d.precompute_compress(level=self.level)
-            squeeze.append(zstandard.ZstdCompressor(dict_data=d).compress)
+        good, bad = compressor(self.good, self.level), compressor(self.bad, self.level)
         w = np.asarray(self.weights)
 
         def score(text):
-            z = float(features(text, plain, *squeeze) @ w)
+            z = float(features(text, good, bad, self.chunk_bytes) @ w)
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
         return score
 
 
-def features(text: str | None, plain, good, bad) -> np.ndarray:
-    """1, the normalised difference, the own ratio's logarithm, the length's, and products of these."""
+def compressor(dictionary: bytes, level: int):
+    d = zstandard.ZstdCompressionDict(dictionary)
+    d.precompute_compress(level=level)
+    return zstandard.ZstdCompressor(dict_data=d).compress
+
+
+def features(text: str | None, good, bad, chunk: int) -> np.ndarray:
+    """1, the normalised difference, the length's logarithm (0 at 1,000 bytes), and the product of the two."""
     data = (text or "").encode("utf-8", "surrogatepass")
     if not data:
-        return np.array([1.0, 0, 0, 0, 0, 0, 0])
-    own = len(plain(data))
-    x = (len(bad(data)) - len(good(data))) / own
-    size = math.log(len(data) / 1000)
-    ratio = math.log(own / len(data)) + 0.15 * size
-    return np.array([1.0, x, ratio, size, x * size, ratio * size, ratio * ratio])
+        return np.array([1.0, 0, 0, 0])
+    x = 0
+    for k in range(0, len(data), chunk):
+        part = data[k : k + chunk]
+        x += len(bad(part)) - len(good(part))
+    x, size = x / len(data), math.log(len(data) / 1000)
+    return np.array([1.0, x, size, x * size])
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
@@ -137,27 +142,28 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(order, "id").limit(settings.max_rows)
         picked = part if picked is None else picked.unionByName(part)
-    rows = texts.join(F.broadcast(picked), "id").select("id", "text", "y", order.alias("o")).collect()  # at most 2 * max_rows distinct ids
-    rows.sort(key=lambda r: (r.o, r.id, r.text))
+    texts = texts.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    # 2 * max_rows rows at most, of which those come to the driver that fit in the bytes
+    upto = Window.partitionBy("y").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)
+    sized = texts.select("id", "text", "y", order.alias("o")).withColumn("upto", F.sum(F.octet_length("text").cast("bigint")).over(upto))
+    rows = sized.where(F.col("upto") <= settings.max_class_bytes).select("id", "text", "y", "o").collect()
+    rows.sort(key=lambda r: (r.o, r.id))
     n = {r.y: r["count"] for r in share}
     prior = n.get(1, 0) / sum(n.values()) if n else 0.5
     sides = {y: [r.text for r in rows if r.y == y] for y in (0, 1)}
-    good, bad = (build_dictionary(sides[y][::2], settings) for y in (1, 0))
+    good, bad = (build_dictionary([t for k, t in enumerate(sides[y]) if k % 4], settings) for y in (1, 0))
     if not good or not bad:
-        return Model(b"", b"", settings.level, (prior,))
-    fns = []
-    for data in (good, bad):
-        fns.append(zstandard.ZstdCompressor(level=settings.level, dict_data=zstandard.ZstdCompressionDict(data)).compress)
-    plain = zstandard.ZstdCompressor(level=settings.level).compress
-    held = [(t, y) for y in (0, 1) for t in sides[y][1::2]]
-    x = np.array([features(t, plain, *fns) for t, _ in held])
+        return Model(b"", b"", settings.level, settings.chunk_bytes, (prior,))
+    fns = [compressor(data, settings.level) for data in (good, bad)]
+    held = [(t, y) for y in (0, 1) for t in sides[y][::4]]
+    x = np.array([features(t, *fns, settings.chunk_bytes) for t, _ in held])
     y = np.array([v for _, v in held], float)
     w = fit_logistic(x, y, settings.ridge)
     # the sample may be more even than the labels are: move the intercept to the labelled share
     a, b = y.mean(), prior
     if 0 < a < 1 and 0 < b < 1:
         w[0] += math.log(b / (1 - b)) - math.log(a / (1 - a))
-    return Model(good, bad, settings.level, tuple(w.tolist()))
+    return Model(good, bad, settings.level, settings.chunk_bytes, tuple(w.tolist()))
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

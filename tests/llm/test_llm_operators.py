@@ -25,6 +25,7 @@ from corpusloom.llm.anchored_pii import BASE, RANK, find_spans, luhn, parse_iban
 from corpusloom.llm.byte_bpe import load
 from corpusloom.llm.components import components
 from corpusloom.llm.compression_bands import Bands, base_counts, judge
+from corpusloom.llm.dictionary_quality import Settings, train
 from corpusloom.llm.minhash import densify, edit, fingerprint_edits, likeness, likeness_of, pack, signatures, unpack
 from corpusloom.llm.run_index import RunIndex
 from corpusloom.llm.simhash import fingerprint, masks, near_pairs, simhash_groups
@@ -145,6 +146,35 @@ def test_fragments_tile_windows():
 
 
 # --- 2: quality
+def test_quality_scores_follow_from_the_difference_alone(spark):
+    """Every score of the query against one worked out here from the dictionaries: chunks compressed with either, and the length."""
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = train(docs, labels, F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
+    size = lambda data, part: len(zstandard.ZstdCompressor(level=model.level, dict_data=zstandard.ZstdCompressionDict(data)).compress(part))
+    got = {r.doc_id: r.score for r in queries.op2_dictionary_quality(spark, d).collect()}
+    rows = docs.collect()
+    assert model.good and len(got) == len(rows)
+    for r in rows:
+        data = (r.text or "").encode()
+        parts = [data[k : k + 128] for k in range(0, len(data), 128)]
+        x = sum(size(model.bad, p) - size(model.good, p) for p in parts) / max(1, len(data))
+        n = np.log(len(data) / 1000) if data else 0
+        z = np.dot(model.weights, [1, x, n, x * n])
+        assert abs(got[r.doc_id] - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 1e-12
+
+
+def test_quality_learns_from_one_row_an_id(spark):
+    """An id that comes up 10,000 times brings one text to the driver, and no more bytes come than the bound."""
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{d}/labels.parquet")
+    one = labels.where("quality = 1").agg(F.min("doc_id")).first()[0]
+    many = docs.unionByName(docs.where(F.col("doc_id") == one).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(10_000)))).drop("n"))
+    assert train(many, labels, F.lit(True)) == train(docs, labels, F.lit(True))
+    small = train(docs, labels, F.lit(True), settings=Settings(max_class_bytes=20_000))
+    assert len(small.good) < 20_000 and len(small.bad) < 20_000
+
+
 def test_quality_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     score = {r.doc_id: r for r in queries.op2_dictionary_quality(spark, d).collect()}
