@@ -4,7 +4,11 @@ A document passes when its word rules hold and its compression ratio (compressed
 bytes) lies inside the band for its length, and no more than ``max_bad_chunks`` of its fixed
 chunks leave the chunk band. Too low a ratio means repetition, too high a ratio means noise.
 
-Short texts compress less, so the upper limits fall with length. Each lies between prose and random base64
+Short texts compress less, so the limits fall with length. The lower ones are points between which the limit goes in a straight
+line over the logarithm of the length. They lie 0.01 below the least ratio of good labelled texts of that length, of which
+16,000 of four languages were measured (those that also teach the dictionaries; ``tests/llm`` holds them against others). Signs of
+two bytes and more repeat their first bytes and compress to less, so where over 30 % of the bytes belong to such the
+limit falls, down to ``multibyte_low`` where all do. Each upper limit lies between prose and random base64
 or alphanumerics in words (0.85 in 256 bytes, 0.77 in 1 KiB, 0.74 in 4 KiB), and above random words of small
 letters, which no prose in an alphabet exceeds. Texts under ``small_below`` bytes are cut into chunks of 256 bytes,
 longer ones into chunks of 1 KiB; the last chunk reaches back, so that no byte goes unjudged. Under 256
@@ -19,6 +23,8 @@ used whole; memory is in proportion to the longest one.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -30,11 +36,12 @@ from corpusloom.llm.common import SPACE_CHARS, map_columns
 SYMBOLS = b"#*$%&|<>"
 #: First bytes of signs of three and four bytes.
 WIDE_LEADS = bytes(range(0xE0, 0x100))
+ASCII = bytes(range(0x80))
 
 
 @dataclass(frozen=True)
 class Bands:
-    """``whole``: (bytes below which it holds, least ratio, greatest ratio), ascending; the last has no upper end.
+    """``lows``: (bytes, least ratio), ascending. ``whole``: (bytes below which it holds, greatest ratio), ascending; the last has no upper end.
 
     ``wide``, ``wide_chunk``, ``wide_small_chunk``: the greatest ratios where every sign has three bytes or more.
     """
@@ -42,22 +49,16 @@ class Bands:
     min_words: int = 50
     max_repeat_percent: int = 50
     level: int = 3
-    whole: tuple[tuple[float, float, float], ...] = (
-        (256, 0.30, 0.82),
-        (400, 0.34, 0.79),
-        (640, 0.34, 0.75),
-        (1024, 0.34, 0.71),
-        (4096, 0.28, 0.66),
-        (16384, 0.25, 0.62),
-        (float("inf"), 0.20, 0.60),
-    )
+    lows: tuple[tuple[int, float], ...] = ((256, 0.51), (640, 0.50), (1024, 0.472), (2048, 0.447), (4096, 0.430), (8192, 0.412), (16384, 0.402), (32768, 0.392), (65536, 0.383), (262144, 0.36))
+    multibyte_low: float = 0.2
+    whole: tuple[tuple[float, float], ...] = ((256, 0.82), (400, 0.79), (640, 0.75), (1024, 0.71), (4096, 0.66), (16384, 0.62), (float("inf"), 0.60))
     wide: tuple[float, ...] = (1.0, 0.95, 0.95, 0.95, 0.74, 0.72, 0.72)
     chunk_bytes: int = 1024
-    chunk: tuple[float, float] = (0.30, 0.70)
+    chunk: tuple[float, float] = (0.485, 0.70)
     wide_chunk: float = 0.80
     small_below: int = 4096
     small_chunk_bytes: int = 256
-    small_chunk: tuple[float, float] = (0.30, 0.85)
+    small_chunk: tuple[float, float] = (0.56, 0.85)
     wide_small_chunk: float = 0.98
     max_bad_chunks: float = 0.2
 
@@ -95,6 +96,23 @@ def raised(data: bytes, high: float, wide: float) -> float:
     return high + share * (wide - high)
 
 
+def lowered(data: bytes, low: float, multibyte: float) -> float:
+    """The lower limit for these bytes: between ``low`` and ``multibyte``, by how far signs of two bytes or more exceed 30 % of them."""
+    if data.isascii():
+        return low
+    share = (len(data.translate(None, ASCII)) / len(data) - 0.3) / 0.7
+    return low + max(0.0, share) * min(0.0, multibyte - low)
+
+
+def least_ratio(n: int, lows: tuple[tuple[int, float], ...]) -> float:
+    """The lower limit for ``n`` bytes, in a straight line over log(n) between the points, level beyond the outer ones."""
+    k = bisect_right(lows, n, key=lambda p: p[0])
+    if not 0 < k < len(lows):
+        return lows[max(0, k - 1)][1]
+    (a, x), (b, y) = lows[k - 1], lows[k]
+    return x + (y - x) * math.log(n / a) / math.log(b / a)
+
+
 def judge(text: str | None, rules: Bands, squeeze) -> tuple:
     """The base counts, then base_failed, kept, the whole ratio and the share of chunks out of band."""
     counts = base_counts(text)
@@ -104,14 +122,15 @@ def judge(text: str | None, rules: Bands, squeeze) -> tuple:
     if not data:
         return (*counts, failed, False, None, None)
     ratio = len(squeeze(data)) / len(data)
-    low, high, wide = next((a, b, w) for (top, a, b), w in zip(rules.whole, rules.wide) if len(data) < top)
+    high, wide = next((h, w) for (top, h), w in zip(rules.whole, rules.wide) if len(data) < top)
     small = len(data) < rules.small_below
     size = rules.small_chunk_bytes if small else rules.chunk_bytes
     low_c, high_c, wide_c = (*rules.small_chunk, rules.wide_small_chunk) if small else (*rules.chunk, rules.wide_chunk)
     starts = [min(i, len(data) - size) for i in range(0, len(data), size)] if len(data) >= size else []
     chunks = [data[i : i + size] for i in starts]
-    bad = sum(not low_c <= len(squeeze(c)) / size <= raised(c, high_c, wide_c) for c in chunks) / len(chunks) if chunks else 0.0
-    return (*counts, failed, not failed and low <= ratio <= raised(data, high, wide) and bad <= rules.max_bad_chunks, ratio, bad)
+    bad = sum(not lowered(c, low_c, rules.multibyte_low) <= len(squeeze(c)) / size <= raised(c, high_c, wide_c) for c in chunks) / len(chunks) if chunks else 0.0
+    inside = lowered(data, least_ratio(len(data), rules.lows), rules.multibyte_low) <= ratio <= raised(data, high, wide)
+    return (*counts, failed, not failed and inside and bad <= rules.max_bad_chunks, ratio, bad)
 
 
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "bad_chunks")
