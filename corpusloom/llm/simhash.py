@@ -6,8 +6,9 @@
    ``blocks - radius`` of them, so each choice of that many bands gives a key. Rows with equal
    keys meet in a partition. More bands make longer keys: ``blocks`` grows with the number of
    distinct fingerprints so that buckets stay small; every choice is exact.
-4. Keys with over ``chunk`` members are split into chunks, and each pair of chunks is a bucket of
-   its own, so no task gets an unbounded group.
+4. Members of a key with over ``chunk`` of them agree on its bits, so they differ in the others alone: these are
+   cut into bands anew, and each choice of two of them makes a longer key. What still has over ``chunk`` members is
+   split into chunks, and each pair of chunks is a bucket of its own, so no task gets an unbounded group.
 5. Within a bucket the bits are held as vertical planes (one machine word has one bit of 64
    fingerprints). Shifting the planes by d compares each row with the d-th next one; seven planes at
    a time go through carry-save adders into bitwise counters, and words in which all lanes exceed the
@@ -164,6 +165,14 @@ def masks(blocks: int, radius: int) -> list[int]:
     return [sum(c) for c in combinations(bands, blocks - radius)]
 
 
+def finer_masks(mask: int, radius: int) -> list[int]:
+    """A mask for each choice of two of the ``radius + 2`` bands into which the bits outside ``mask`` are cut."""
+    bits = [b for b in range(64) if not mask >> b & 1]
+    n = radius + 2
+    bands = [sum(1 << b for b in bits[len(bits) * k // n : len(bits) * (k + 1) // n]) for k in range(n)]
+    return [sum(c) for c in combinations(bands, 2)]
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -180,32 +189,44 @@ def link(fps: DataFrame, n_fps: int, radius: int = 4, chunk: int = CHUNK) -> Dat
     """From distinct (fp, n): (fp, near, root) rows, partial, one or more per fingerprint with a neighbour."""
     keys = masks(blocks_for(n_fps, radius), radius)
     rows = fps.select("fp", "n", F.explode(F.array(*(F.struct(F.lit(k).alias("c"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for k, m in enumerate(keys)))).alias("x")).select("x.c", "x.key", "fp", "n")
-    hot = cut(rows.groupBy("c", "key").count().where(F.col("count") > chunk).select("c", "key", F.ceil(F.col("count") / (chunk // 2)).cast("int").alias("parts")))
+    finer = [finer_masks(m, radius) for m in keys]
+    crowd = lambda df, by: cut(df.groupBy(*by).count().where(F.col("count") > chunk).select(*by, F.ceil(F.col("count") / (chunk // 2)).cast("int").alias("parts")))
+    whole = [F.lit(-1).alias("q"), F.lit(0).cast("bigint").alias("sub")]
     plain = [F.lit(-1).alias("side"), F.lit(0).alias("i"), F.lit(0).alias("j")]
+    hot = crowd(rows, ["c", "key"])
     if hot.isEmpty():
-        rows = rows.select("*", *plain)
+        rows = rows.select("*", *whole, *plain)
     else:
         joined = rows.join(hot, ["c", "key"], "left")
-        cold = joined.where("parts IS NULL").drop("parts").select("*", *plain)
+        cold = joined.where("parts IS NULL").drop("parts").select("*", *whole)
+        table = F.array(*(F.array(*(F.lit(signed(m)) for m in ms)) for ms in finer))
+        longer = F.transform(F.element_at(table, F.col("c") + 1), lambda m, q: F.struct(q.cast("int").alias("q"), F.col("fp").bitwiseAND(m).alias("sub")))
+        cut_again = joined.where("parts IS NOT NULL").select("c", "key", "fp", "n", F.explode(longer).alias("x")).select("c", "key", "fp", "n", "x.q", "x.sub")
+        by = ["c", "key", "q", "sub"]
+        joined = cut_again.join(crowd(cut_again, by), by, "left")
+        cold = cold.unionByName(joined.where("parts IS NULL").drop("parts")).select("*", *plain)
         mine = joined.where("parts IS NOT NULL").withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
         split = mine.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
         i, j = F.least("mine", "other"), F.greatest("mine", "other")
-        rows = cold.unionByName(split.select("c", "key", "fp", "n", F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine")).alias("side"), i.alias("i"), j.alias("j")))
+        rows = cold.unionByName(split.select(*by, "fp", "n", F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine")).alias("side"), i.alias("i"), j.alias("j")))
         # the bucket (i, i) compares a chunk with itself; in (i, j) only pairs across the two count
-    group = ["c", "key", "i", "j"]
-    wide = [np.uint64(m) for m in keys]
+    group = ["c", "key", "q", "sub", "i", "j"]
+    wide, narrow = [np.uint64(m) for m in keys], np.array(finer, np.uint64)
 
     def run(batches):
         held, size = [], 0
 
         def compare(part):
-            c, _, _, _, fp, n, side, run_id = part
+            c, _, q, _, _, _, fp, n, side, run_id = part
             fp = fp.view(np.uint64)
 
             def first_key(i, j):
                 x, ok = fp[i] ^ fp[j], np.ones(len(i), bool)
                 for k, m in enumerate(wide):
                     ok &= (c[i] <= k) | ((x & m) != 0)
+                if (again := q[i] > 0).any():
+                    for k in range(narrow.shape[1]):
+                        ok &= ~again | (q[i] <= k) | ((x & narrow[c[i], k]) != 0)
                 return ok
 
             near, root = _bucket(fp, n, run_id, side, first_key, radius)
@@ -215,7 +236,7 @@ def link(fps: DataFrame, n_fps: int, radius: int = 4, chunk: int = CHUNK) -> Dat
         def ready(parts, final):
             cols = [np.concatenate(x) for x in zip(*parts)]
             new = np.zeros(len(cols[0]), bool)
-            for x in cols[:4]:
+            for x in cols[: len(group)]:
                 new[1:] |= x[1:] != x[:-1]
             stop = len(new) if final or not new.any() else int(np.flatnonzero(new)[-1])
             run_id = np.cumsum(new)

@@ -28,7 +28,7 @@ from corpusloom.llm.compression_bands import Bands, base_counts, judge
 from corpusloom.llm.dictionary_quality import Settings, train
 from corpusloom.llm.minhash import densify, edit, fingerprint_edits, likeness, likeness_of, pack, signatures, unpack
 from corpusloom.llm.run_index import RunIndex
-from corpusloom.llm.simhash import fingerprint, masks, near_pairs, simhash_groups
+from corpusloom.llm.simhash import fingerprint, link, masks, near_pairs, simhash_groups
 from corpusloom.llm.substring_dedup import GRAMS, fragments, remove_repeats, sliding_min
 from corpusloom.llm.token_files import FileWriter, WordTokenizer, pack_block, read_file, unpack_block
 
@@ -550,6 +550,19 @@ def test_near_pairs(radius):
     assert got == want
 
 
+def test_crowded_keys_are_cut_again(spark):
+    """Fingerprints that agree on most bits: keys, and longer keys too, outgrow a chunk; no pair is lost or counted twice."""
+    rng = random.Random(21)
+    bases = [rng.getrandbits(64) for _ in range(3)]
+    fps = {b for base in bases for _ in range(600) for b in [base ^ sum(1 << k for k in rng.sample(range(12 if base == bases[0] else 64), rng.randint(0, 7)))]}
+    fps = np.array(sorted(fps), np.uint64)
+    want = {int(f): int((np.bitwise_count(fps ^ f) <= 4).sum()) - 1 for f in fps}
+    rows = spark.createDataFrame([(int(f), 1) for f in fps.view(np.int64)], "fp bigint, n bigint")
+    for chunk in (1 << 20, 200, 16):
+        got = {r.fp & (1 << 64) - 1: r.near for r in link(rows, len(fps), chunk=chunk).groupBy("fp").agg(F.sum("near").alias("near")).collect()}
+        assert got == {f: n for f, n in want.items() if n}, chunk
+
+
 @pytest.mark.parametrize("chunk", [4096, 4])
 def test_groups(spark, texts, chunk):
     rng = random.Random(chunk)
