@@ -155,16 +155,17 @@ def _finer(found: DataFrame, least: int, gram: int) -> DataFrame:
 def _fetch(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of the wanted fragments (m, a, b, at, len, once), from one row of each name."""
     lists = wanted.groupBy("a", "b").agg(F.collect_list(F.struct("m", "at", "len", "once")).alias("x"))
-    # rows of one name lie together after the join, so that dropping all but one needs no further exchange
-    joined = rows.join(lists, ["a", "b"]).dropDuplicates(["a", "b"]).select("text", "a", "b", "x.m", "x.at", "x.len", "x.once")
+    # rows of one name lie together after the join, so that dropping all but one needs no further exchange; the id comes along
+    # so that the exchange of the rows is the one that the last join uses as well
+    joined = rows.join(lists, ["a", "b"]).dropDuplicates(["a", "b"]).select("id", "text", "a", "b", "x.m", "x.at", "x.len", "x.once")
 
     def run(batches):
-        for texts, a, b, m, at, size, once in batches:
+        for _, texts, a, b, m, at, size, once in batches:
             for k in range(len(texts)):
                 data, n = texts[k].encode("utf-8", "surrogatepass"), len(m[k])
                 yield {"m": m[k], "a": [a[k]] * n, "b": [b[k]] * n, "at": at[k], "once": once[k], "data": [data[s : s + z] for s, z in zip(at[k], size[k])]}
 
-    return map_batches(joined, ("text", "a", "b", "m", "at", "len", "once"), "m bigint, a bigint, b bigint, at int, once int, data binary", _merge_small(run))
+    return map_batches(joined, ("id", "text", "a", "b", "m", "at", "len", "once"), "m bigint, a bigint, b bigint, at int, once int, data binary", _merge_small(run))
 
 
 def _merge_small(fn, rows: int = 2000):
