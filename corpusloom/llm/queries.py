@@ -158,7 +158,7 @@ plan AS (
     SELECT r.*, budget, epochs, rest, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('17:' || epochs || ':' || doc_id), doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS upto
     FROM rows_ r JOIN plan USING (domain, lang, source)
 )
-SELECT doc_id, domain, lang, source, n_tokens, budget AS leaf_budget, epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS copies FROM ordered
+SELECT doc_id, domain, lang, source, n_tokens, budget AS leaf_budget, epochs + CASE WHEN rest > 0 AND 2 * upto - n_tokens <= 2 * rest THEN 1 ELSE 0 END AS copies FROM ordered
 """
 OP9_SQL = OP9_SQL.replace(
     "@1", _fill_sql("", "domain", "SELECT domain, sum(cap)::BIGINT AS cap, CASE domain WHEN 'web' THEN 4 WHEN 'news' THEN 3 WHEN 'books' THEN 2 ELSE 1 END AS w, (SELECT (sum(supply) * 3 // 5)::BIGINT FROM leaves) AS total FROM leaves GROUP BY domain")

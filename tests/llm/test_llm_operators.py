@@ -29,6 +29,7 @@ from corpusloom.llm.dictionary_quality import Settings, train
 from corpusloom.llm.minhash import densify, edit, fingerprint_edits, likeness, likeness_of, pack, signatures, unpack
 from corpusloom.llm.run_index import RunIndex
 from corpusloom.llm.simhash import fingerprint, link, masks, near_pairs, simhash_groups
+from corpusloom.llm.source_mixing import fill, mix
 from corpusloom.llm.substring_dedup import GRAMS, fragments, remove_repeats, sliding_min
 from corpusloom.llm.token_files import FileWriter, WordTokenizer, pack_block, read_file, unpack_block
 
@@ -613,46 +614,76 @@ def test_components(spark):
 
 
 # --- 9: mixing
-def test_mix_follows_the_tree(spark):
-    rng = random.Random(9)
-    rows = [(k, " ".join("w" * rng.randint(0, 30)), rng.choice("xy"), rng.choice(["en", "fr", "de"]), rng.choice(["s1", "s2"])) for k in range(600)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, domain string, lang string, source string")
-    weights = {"domain": {"x": 3}, "lang": {"en": 5, "fr": 2}, "source": {"s1": 4}}
-    got = queries.choose(df, weights, 5, max_epochs=2, share=(4, 5)).collect()
-    leaves = defaultdict(list)
-    for r in got:
-        leaves[r.domain, r.lang, r.source].append(r)
-    total = sum(r.n_tokens for r in got)
-    supply = {k: sum(r.n_tokens for r in v) for k, v in leaves.items()}
+def brute_copies(rows, weights, seed, max_epochs, total):
+    """From (id, domain, lang, source, tokens) rows: {leaf: budget} and the copies of each row, in plain Python."""
+    supply = Counter()
+    for _, *leaf, n in rows:
+        supply[tuple(leaf)] += n
 
     def share(budget, kids):  # kids: {name: (weight, capacity)}
         out, open_ = {}, dict(kids)
-        while True:
+        while open_:
             all_w, left = sum(w for w, _ in open_.values()), budget - sum(out.values())
             full = {k for k, (w, c) in open_.items() if c * all_w <= w * left}
             if not full:
-                return out | {k: w * left / all_w for k, (w, _) in open_.items()}
+                parts = {k: w * left // all_w for k, (w, _) in open_.items()}
+                odd = left - sum(parts.values())
+                return out | {k: min(open_[k][1], parts[k] + (i < odd)) for i, k in enumerate(sorted(parts))}
             for k in full:
                 out[k] = open_.pop(k)[1]
-            if not open_:
-                return out
-
-    cap = lambda prefix: 2 * sum(s for k, s in supply.items() if k[: len(prefix)] == prefix)
-    weight = lambda level, name: weights[level].get(name, 1)
-    tops = share(total * 4 // 5, {d: (weight("domain", d), cap((d,))) for d in "xy"})
-    for d, top in tops.items():
-        langs = share(top, {x: (weight("lang", x), cap((d, x))) for x in ("en", "fr", "de")})
-        for x, mid in langs.items():
-            for s, want in share(mid, {s: (weight("source", s), cap((d, x, s))) for s in ("s1", "s2")}).items():
-                rows_ = leaves[d, x, s]
-                assert abs(rows_[0].leaf_budget - want) <= 4
-                epochs, rest = divmod(rows_[0].leaf_budget, supply[d, x, s])
-                order = sorted(rows_, key=lambda r: hashlib.md5(f"5:{epochs}:{r.doc_id}".encode()).hexdigest())
-                upto = 0
-                for r in order:
-                    upto += r.n_tokens
-                    assert r.copies == epochs + (rest > 0 and upto <= rest)
-    assert sum(rows_[0].leaf_budget for rows_ in leaves.values()) == total * 4 // 5
+        return out
+
+    budget = {(): min(total, max_epochs * sum(supply.values()))}
+    for depth, level in enumerate(("domain", "lang", "source")):
+        for parent in [k for k in budget if len(k) == depth]:
+            names = {k[depth] for k in supply if k[:depth] == parent}
+            cap = lambda x: max_epochs * sum(s for k, s in supply.items() if k[: depth + 1] == x)  # noqa: B023, E731
+            kids = {x: (weights[level].get(x, 1), cap((*parent, x))) for x in names}
+            budget |= {(*parent, x): v for x, v in share(budget[parent], kids).items()}
+    copies = [0] * len(rows)
+    for leaf, s in supply.items():
+        epochs, rest = divmod(budget[leaf], s) if s else (0, 0)
+        mine = [k for k, r in enumerate(rows) if tuple(r[1:4]) == leaf]
+        upto = 0
+        for k in sorted(mine, key=lambda k: (hashlib.md5(f"{seed}:{epochs}:{rows[k][0]}".encode()).hexdigest(), rows[k][0], rows[k][4])):
+            upto += rows[k][4]
+            copies[k] = epochs + (rest > 0 and 2 * upto - rows[k][4] <= 2 * rest)
+    return {k: v for k, v in budget.items() if len(k) == 3}, copies
+
+
+def n_words(t):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+
+
+@pytest.mark.parametrize("hosts", [2, 40])
+def test_mix_follows_the_tree(spark, hosts):
+    rng = random.Random(9)
+    rows = [(k, " ".join("w" * rng.randint(0, 30)), rng.choice("xy"), rng.choice(["en", "fr", "de"]), f"s{rng.randint(1, hosts)}") for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, domain string, lang string, source string")
+    weights = {"domain": {"x": 3}, "lang": {"en": 5, "fr": 2}, "source": {"s1": 4}}
+    total = sum(n_words(r[1]) for r in rows)
+    for epochs, (a, b) in ((2, (4, 5)), (3, (5, 3)), (1, (7, 1))):
+        budget, copies = brute_copies([(k, d, x, s, n_words(t)) for k, t, d, x, s in rows], weights, 5, epochs, total * a // b)
+        assert {r.doc_id: (r.leaf_budget, r.copies) for r in queries.choose(df, weights, 5, max_epochs=epochs, share=(a, b)).collect()} == {r[0]: (budget[r[2:]], c) for r, c in zip(rows, copies)}
+    assert sum(budget.values()) == total
+
+
+def test_mix_with_equal_rows_and_great_numbers(spark):
+    """Equal rows share what is due to them, and products of tokens and weights don't overflow."""
+    rows = [(1, "a b c", "x", "en", "s", k) for k in range(10)] + [(2, "d e f", "x", "en", "s", 99)] * 4 + [(3, "g", "x", "en", "t", 0)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, domain string, lang string, source string, extra bigint")
+    weights = {"domain": {}, "lang": {}, "source": {}}
+    budget, copies = brute_copies([(i, d, x, s, n_words(t)) for i, t, d, x, s, _ in rows], weights, 3, 2, 25)
+    want = Counter()
+    for r, c in zip(rows, copies):
+        want[r[0]] += c
+    got = mix(df, weights, 3, max_epochs=2, budget=25).collect()
+    assert Counter(r.doc_id for r in got) == want and max(Counter(r.extra for r in got if r.doc_id == 1).values()) <= 2
+    kids = spark.createDataFrame([("a", 10**17, 100_000, 10**17), ("b", 10**16, 3, 10**17), ("c", 10**16, 2, 10**17)], "name string, cap bigint, w bigint, total bigint")
+    assert sum(r.budget for r in fill(kids, [], "name").collect()) == 10**17
+    many = spark.range(3000).selectExpr("concat('h', id) AS name", "10 AS cap", "1 AS w", "7001 AS total", "1 AS p").selectExpr("p", "name", "bigint(cap) cap", "bigint(w) w", "bigint(total) total")
+    got = {r.name: r.budget for r in fill(many, ["p"], "name").collect()}
+    assert got == {f"h{k}": 2 + (i < 1001) for i, k in enumerate(sorted(range(3000), key=str))}
 
 
 # --- 10: byte-level BPE
@@ -672,12 +703,23 @@ def test_bpe_is_that_of_tiktoken(texts, name):
 
 
 # --- the pipeline, stage by stage
+def brute_redact(text):
+    spans = sorted([*brute_spans(text), *brute_added(text)], key=lambda x: (x[1], RANK[x[0]], x[2]))
+    out, at = "", 0
+    for kind, a, b in spans:
+        if a >= at:
+            out += text[at:a] + f"<{kind.upper()}>"
+        at = max(at, b)
+    return out + text[at:]
+
+
 def test_pipeline(spark, texts):
+    """Every stage against plain Python that shares no function with it."""
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    rows = {r.doc_id: r for r in documents.collect()}
     stage = dict(corpus_pipeline.STAGES)
     good = stage["quality rules"](spark, documents, "")
-    want = {i: t for i, t in texts.items() if judge(t, Bands(), squeeze)[6]}
+    want = {i: t for i, t in texts.items() if brute_kept(t)}
     assert {r.doc_id: r.text for r in good.collect()} == want
     one = stage["near duplicates"](spark, good, "")
     prints, group = {i: brute_fingerprint(t) for i, t in want.items()}, {i: i for i in want}
@@ -689,17 +731,22 @@ def test_pipeline(spark, texts):
     want = {i: t for i, t in want.items() if group[i] == i}
     assert {r.doc_id: r.text for r in one.collect()} == want
     clean = stage["personal data"](spark, one, "")
-    want = {i: redact_text(t) for i, t in want.items()}
+    want = {i: brute_redact(t) for i, t in want.items()}
     assert {r.doc_id: (r.text, r.n_chars) for r in clean.collect()} == {i: (t, len(t)) for i, t in want.items()}
-    assert not any(find_spans(t) for t in want.values())
     mixed = stage["source mix"](spark, clean, "")
-    left = {r.doc_id: r.text for r in mixed.collect()}
-    tokens = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in want.items()}
-    assert left.items() <= want.items() and 0.6 < sum(tokens[i] for i in left) / sum(tokens.values()) <= 0.8
-    model = load(public_tokenizers.path(queries.BYTE_BPE), public_tokenizers.PATTERN)
-    for r in stage["byte-level BPE"](spark, mixed, "").collect():
-        assert model.decode(bytes(r.ids)).decode() == left[r.doc_id] and r.n_tokens * 4 == len(r.ids)
-    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() == len(left)
+    ends = {i: re.search("([0-9]+)$", rows[i].source or "") for i in want}
+    leaves = [(i, ("web", "news", "books", "forum")[int(ends[i][1]) % 4 if ends[i] else 3], rows[i].lang or "", rows[i].source or "", n_words(t)) for i, t in want.items()]
+    _, copies = brute_copies(leaves, queries.WEIGHTS, queries.SEED, 1, sum(r[4] for r in leaves) * 4 // 5)
+    left = {r[0]: want[r[0]] for r, c in zip(leaves, copies) if c}
+    assert sorted((r.doc_id, r.text) for r in mixed.collect()) == sorted(left.items())
+    bpe = load(public_tokenizers.path(queries.BYTE_BPE), public_tokenizers.PATTERN)
+    model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    ids = {i: np.array(model.encode_ordinary(t), "<u4").tobytes() for i, t in left.items()}
+    digest = lambda x: hashlib.sha256(x).hexdigest()
+    final = sorted((i, len(x) // 4, digest(x), digest(left[i].encode()), x) for i, x in ids.items())
+    out = lambda df: sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, bytes(r.ids)) for r in df.collect())
+    assert out(stage["byte-level BPE"](spark, mixed, "")) == final
+    assert out(corpus_pipeline.run(spark, "/root/testdata/sf0.001")) == final
 
 
 def test_sql_covers_what_it_can():
