@@ -44,20 +44,29 @@ class RunIndex:
         #: (length, ranks of the strings of that length from each position on, 0 beyond the end)
         self.levels: list[tuple[int, np.ndarray]] = []
         size, longest = first, int(self.lengths.max(initial=0))
+        order = np.argsort(key)
+        sorted_key = key[order]
+        new = np.ones(n, bool)
+        new[1:] = sorted_key[1:] != sorted_key[:-1]
         while True:
-            order = np.argsort(key)
-            sorted_key = key[order]
-            rank = np.empty(n, np.int32)
-            new = np.ones(n, bool)
-            new[1:] = sorted_key[1:] != sorted_key[:-1]
             count = np.cumsum(new, dtype=np.int32)
+            rank = np.empty(n, np.int32)
             rank[order] = count
             self.levels.append((size, rank))
             if size > longest or count[-1] == n:
                 break
+            # only suffixes that others are equal to so far change places, and only among those
+            tied = ~new
+            tied[:-1] |= tied[1:]
+            at = np.flatnonzero(tied)
+            suffix = order[at]
             padded = np.zeros(n + 2 * size, np.int64)
             padded[:n] = rank
-            key = (padded[:n] << 42) | (padded[size : size + n] << 21) | padded[2 * size : 2 * size + n]
+            key = (padded[suffix] << 42) | (padded[suffix + size] << 21) | padded[suffix + 2 * size]
+            by_key = np.argsort(key)
+            order[at] = suffix[by_key]
+            key = key[by_key]
+            new[at[1:]] = key[1:] != key[:-1]
             size *= 3
         self.suffixes = order
         # rows of the transform that begin a run; the start of a text is a run by itself
