@@ -169,8 +169,9 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63))).alias("key"))
     rows = rows.withColumn("th", F.xxhash64("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63))).cast("double").alias("key")).approxQuantile("key", [k / parts for k in range(1, parts)], 0.2 / parts))
-    bounds, key = F.array(*map(F.lit, cuts)).cast("array<double>"), F.col("key").cast("double")
+    # quantiles come as doubles; they and the ids are compared as whole numbers, so that ids that are equal as doubles keep their order
+    cuts = sorted(int(max(-(2.0**63), min(c, 2.0**63 - 1024))) for c in docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63))).cast("double").alias("key")).approxQuantile("key", [k / parts for k in range(1, parts)], 0.2 / parts))
+    bounds, key = F.array(*map(F.lit, cuts)).cast("array<bigint>"), F.col("key")
     times = F.size(F.filter(bounds, lambda b: b == key))
     share = F.least(times, F.floor((F.col("th") / F.lit(2.0**64) + 0.5) * (times + 1)))
     rows = rows.select("id", "text", "key", "th", (F.size(F.filter(bounds, lambda b: b < key)) + share).cast("int").alias("part"))
