@@ -290,7 +290,8 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                             docs, start, size, crc = [], [], [], []
                 yield {"doc_id": docs, "start": start, "n_tokens": size, "ids_crc32": crc}
 
-    return map_batches(rows.repartition(parts, "part"), ("file", "base"), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint", run)
+    # by number, so that each task gets its share of the files
+    return map_batches(rows.repartitionById(parts, "part"), ("file", "base"), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint", run)
 
 
 def token_files(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
