@@ -83,27 +83,33 @@ OP6_SQL = r"""
 WITH RECURSIVE p AS (
     SELECT page_id, url, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), links AS (
-    SELECT url AS source, unnest([regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-        regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS t
+    SELECT url AS source, replace(unnest(list_concat(
+        list_transform(list_filter(regexp_extract_all(html, '(?i)<link\b[^>]*>'), lambda x: regexp_matches(x, '(?i)\brel\s*=\s*("([^">]*\s)?canonical[\s"]|''([^''>]*\s)?canonical[\s'']|canonical[\s/>])')),
+            lambda x: regexp_extract(x, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+        list_transform(list_filter(regexp_extract_all(html, '(?i)<meta\b[^>]*>'), lambda x: regexp_matches(x, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+            lambda x: regexp_extract(x, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)))), '&amp;', '&') AS t,
+        regexp_extract(url, '^[^:/?#]*://[^/?#]*') AS origin, regexp_extract(url, '^[^:/?#]*://[^/?#]*([^?#]*)', 1) AS page
     FROM pages WHERE regexp_matches(html, '(?i)canonical|http-equiv')
 ), targets AS (
     SELECT source, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+        WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') OR t = '' OR origin = '' THEN NULL
         WHEN starts_with(t, '//') THEN regexp_extract(source, '^[^:/?#]*:') || t
-        WHEN starts_with(t, '/') THEN regexp_extract(source, '^[^:/?#]*://[^/?#]*') || t END AS target
+        WHEN starts_with(t, '/') THEN origin || t
+        WHEN starts_with(t, '#') THEN regexp_replace(source, '(?s)#.*$', '') || t
+        WHEN starts_with(t, '?') THEN origin || page || t
+        ELSE origin || CASE WHEN page = '' THEN '/' ELSE regexp_replace(page, '[^/]*$', '') END || t END AS target
     FROM links
 ), urls AS (
     SELECT url FROM pages UNION SELECT source FROM targets WHERE target IS NOT NULL UNION SELECT target FROM targets WHERE target IS NOT NULL
 ), parts AS (
     SELECT url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
-        list_sort(list_filter(string_split(regexp_extract(regexp_replace(url, '(?s)#.*$', ''), '(?s)\?(.*)$', 1), '&'),
-            lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_[^=]*|fbclid|gclid|ref)(=|$)'))) AS query
+        regexp_extract(regexp_replace(url, '(?s)#.*$', ''), '(?s)\?.*$') AS query
     FROM (SELECT url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM urls)
 ), named AS (
     SELECT url, host, path,
-        CASE WHEN contains(url, '://') THEN regexp_replace(host, '^(www|m)\.|:(80|443)$', '', 'g')
-            || regexp_replace(regexp_replace(path, '/index\.(html?|php)$', '/'), '/+$', '')
-            || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END END AS node,
+        CASE WHEN contains(url, '://') THEN translate(substr(url, 1, instr(url, '://') - 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || '://' || host
+            || CASE WHEN path = '' THEN '/' ELSE path END || query END AS node,
         CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
             WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
             WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'

@@ -2,10 +2,11 @@
 
 A URL's own verdict is that of the longest rule that fits its host (or a domain above it) and the start
 of its path. URLs without one take their class's verdict. Classes are the connected components of
-redirect and canonical-link edges: a page's ``<link rel="canonical">`` and ``<meta http-equiv="refresh">``
-targets (resolved against the page's ``<base href>``, else its url, as in RFC 3986), an optional table of redirects, and the redirects that sites make as a matter of course, which
-``node_of`` folds into one node: scheme, ``www.`` or ``m.`` in front, fragment, closing slash, default
-index page, tracking parameters. A class with an explicit allow is allowed, else one with a block is blocked, else allowed; so an allow
+redirect and canonical-link edges: all ``<link rel="canonical">`` and ``<meta http-equiv="refresh">``
+targets of a page (resolved against the page's ``<base href>``, else its url, as in RFC 3986) and an optional table of redirects.
+URLs that RFC 3986 makes equal, by the case of scheme and host, an empty path or a fragment, are one node. With ``fold`` so are those that sites
+usually redirect to each other, though no edge says so: by scheme, ``www.`` or ``m.`` in front, closing slash, default index page,
+tracking parameters and their order. A class with an explicit allow is allowed, else one with a block is blocked, else allowed; so an allow
 takes precedence, and a rule that fits a URL itself takes precedence over its class.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule, has no
@@ -84,12 +85,17 @@ def with_rule(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     return rows.join(best, ["host", "path"], "left")
 
 
-def node_of(url: Column) -> Column:
-    """One name for the URLs that a site's usual redirects make equal; null where there is no ``://``."""
+def node_of(url: Column, fold: bool = False) -> Column:
+    """One name for the URLs that are equal by RFC 3986 or, with ``fold``, by the usual redirects of sites; null where there is no ``://``."""
     host, path = host_path(url)
+    plain = F.regexp_replace(url, "#[\\s\\S]*$", "")
+    if not fold:
+        scheme = F.translate(F.substring_index(url, "://", 1), UPPER, LOWER)
+        out = F.concat(scheme, F.lit("://"), host, F.when(path == "", "/").otherwise(path), F.regexp_extract(plain, r"\?[\s\S]*$", 0))
+        return F.when(F.instr(url, "://") > 0, out)
     host = F.regexp_replace(host, r"^(www|m)\.|:(80|443)$", "")
     path = F.regexp_replace(F.regexp_replace(path, r"/index\.(html?|php)$", "/"), r"/+$", "")
-    query = F.regexp_extract(F.regexp_replace(url, "#[\\s\\S]*$", ""), r"\?([\s\S]*)$", 1)
+    query = F.regexp_extract(plain, r"\?([\s\S]*)$", 1)
     kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(r"^(utm_[^=]*|fbclid|gclid|ref)(=|$)"))
     query = F.concat_ws("&", F.array_sort(kept))
     return F.when(F.instr(url, "://") > 0, F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
@@ -137,36 +143,38 @@ def _absolute(joined: Column) -> Column:
     return F.when(own.rlike(r"/\.\.?(/|$)"), F.concat(start, without_dots(own), tail)).otherwise(joined)
 
 
+#: A link tag one of whose rel words is canonical.
+CANONICAL = r"""(?i)\brel\s*=\s*("([^">]*\s)?canonical[\s"]|'([^'>]*\s)?canonical[\s']|canonical[\s/>])"""
+REFRESH = r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""
+
+
 def link_targets(url: Column, html: Column) -> Column:
-    """The absolute targets of a page's canonical link and refresh."""
-    word = r"(?<![\w-])canonical(?![\w-])"
-    canonical = F.regexp_extract(html, rf"(?i)<link\b[^>]*\brel\s*=\s*(?:\"[^\">]*{word}|'[^'>]*{word}|{word})[^>]*>", 0)
-    refresh = F.regexp_extract(html, r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
+    """The absolute targets of a page's canonical links and refreshes, each once."""
+    tags = lambda name: F.regexp_extract_all(html, F.lit(rf"(?i)<{name}\b[^>]*>"), F.lit(0))
+    value = lambda tag, name: F.replace(F.regexp_extract(tag, rf"(?i)\b{name}\s*=\s*[\"']?([^\"'\s>]+)", 1), F.lit("&amp;"), F.lit("&"))
     base_tag = F.regexp_extract(html, r"(?i)<base\b[^>]*\bhref\s*=[^>]*>", 0)
-    base = F.coalesce(resolve(url, F.regexp_extract(base_tag, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)), url)
-    found = F.array(
-        F.regexp_extract(canonical, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
-        F.regexp_extract(refresh, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1),
-    )
-    return F.filter(F.transform(found, lambda t: resolve(base, t)), lambda t: t.isNotNull())
+    base = F.coalesce(resolve(url, value(base_tag, "href")), url)
+    links = F.transform(F.filter(tags("link"), lambda t: t.rlike(CANONICAL)), lambda t: value(t, "href"))
+    jumps = F.transform(F.filter(tags("meta"), lambda t: t.rlike(REFRESH)), lambda t: value(t, "url"))
+    return F.array_distinct(F.filter(F.transform(F.concat(links, jumps), lambda t: resolve(base, t)), lambda t: t.isNotNull()))
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None, fold: bool = False, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: id, host, path, rule, verdict. ``redirects``: (source, target) URLs."""
     host, path = host_path(F.col("url"))
     named = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
-    rows = named.select("id", host.alias("host"), path.alias("path"), node_of(F.col("url")).alias("node"))
+    rows = named.select("id", host.alias("host"), path.alias("path"), node_of(F.col("url"), fold).alias("node"))
     rows = with_rule(rows, rules)
     # html is read for the edges alone, and only where a tag is there
     tagged = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).where(F.col("html").rlike(r"(?i)canonical|http-equiv"))
     links = tagged.select(F.col("url").alias("source"), F.explode(link_targets(F.col("url"), F.col("html"))).alias("target"))
     if redirects is not None:
         links = links.unionByName(redirects.select("source", "target"))
-    edges = links.select(node_of(F.col("source")).alias("a"), node_of(F.col("target")).alias("b"))
+    edges = links.select(node_of(F.col("source"), fold).alias("a"), node_of(F.col("target"), fold).alias("b"))
     roots = components(edges)
     ends = links.select(F.explode(F.array("source", "target")).alias("url"))
     t_host, t_path = host_path(F.col("url"))
-    ends = with_rule(ends.select(node_of(F.col("url")).alias("node"), t_host.alias("host"), t_path.alias("path")), rules)
+    ends = with_rule(ends.select(node_of(F.col("url"), fold).alias("node"), t_host.alias("host"), t_path.alias("path")), rules)
     decided = rows.select("node", F.col("r.verdict").alias("v")).unionByName(ends.select("node", F.col("r.verdict").alias("v")))
     per_node = decided.where("v IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(F.max(F.col("v") == "allow").alias("ok"), F.max(F.col("v") == "block").alias("no"))
     grouped = lambda df: df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -4,7 +4,9 @@ import random
 from collections import Counter
 from urllib.parse import urljoin
 
+import duckdb
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -84,7 +86,9 @@ def test_op6(spark, monkeypatch):
         (10, "http://s.example.com/b", '<link rel=canonical href="http://blocked.net/k">'), (11, "http://s.example.com/b?utm_source=x", '<link rel=canonical href="http://ok.org/fr/2">'),
     ]
     df = spark.createDataFrame([(*p, "c", "c") for p in pages], "page_id bigint, url string, html string, node string, root string")
-    got = judge_urls(df, rules).collect()
+    plain = {(r.page_id, r.host): r.verdict for r in judge_urls(df, rules).collect()}
+    assert plain[5, "www.q.example.com"] == "block" and plain[6, "q.example.com"] == "allow"  # nothing but a usual redirect would join these two
+    got = judge_urls(df, rules, fold=True).collect()
     by = {(r.page_id, r.host): r for r in got}
     assert len(got) == len(pages)
     assert (by[1, ""].verdict, by[1, ""].rule) == ("allow", None)
@@ -94,8 +98,55 @@ def test_op6(spark, monkeypatch):
     assert by[8, "w.example.com"].verdict == by[9, "w.example.com"].verdict == "block"
     assert by[10, "s.example.com"].verdict == by[11, "s.example.com"].verdict == "allow"
     assert judge_urls(df.limit(0), rules).count() == 0
+    hops = spark.createDataFrame([("http://start.example.com/", "https://x.example.com/2"), ("https://X.example.com/2#y", "http://blocked.net/z"), (None, "http://q.example.com/en/a"), ("http://q.example.com/en/a", None)], "source string, target string")
+    extra = df.unionByName(spark.createDataFrame([(20, "http://start.example.com", None, "", ""), (21, "http://start.example.com/?", None, "", "")], df.schema))
+    assert {r.page_id: r.verdict for r in judge_urls(extra, rules, hops).collect() if r.page_id in (20, 21, 6)} == {20: "block", 21: "allow", 6: "allow"}
     monkeypatch.setattr(url_equivalence, "MAX_RULES", 1)
-    assert Counter(judge_urls(df, rules).collect()) == Counter(got)
+    assert Counter(judge_urls(df, rules, fold=True).collect()) == Counter(got)
+
+
+def test_op6_components_decide(spark):
+    """Pages that link to each other at random, against the query's SQL and against a walk over the links."""
+    rng = random.Random(6)
+    hosts = ["a.example.com", "www.b.example.com", "c.example.org", "d.net", "m.e.example.net"]
+    urls = [f"http{'s' * (k % 2)}://{rng.choice(hosts)}/{rng.choice(['de', 'en', 'fr', 'x'])}/{k}" + "?p=1&q=2" * (k % 5 == 0) for k in range(400)]
+    esc = lambda u: u.replace("&", "&amp;")
+
+    def html(k):
+        tags, to = [], []
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            j = rng.randrange(len(urls))
+            to.append(urls[j])
+            near = urls[j].split("/", 3)
+            ref = "/" + near[3] if near[:3] == urls[k].split("/", 3)[:3] and rng.random() < 0.8 else urls[j]
+            tags.append(rng.choice(['<link rel="alternate canonical" href="{}">', "<LINK href='{}' rel=canonical>", '<meta http-equiv="refresh" content="0; url={}">']).format(esc(ref)))
+        return "<html>" + "<p>x</p>".join(tags), to
+
+    made = [html(k) for k in range(len(urls))]
+    rows = [(k, u, h) for k, (u, (h, _)) in enumerate(zip(urls, made))]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = sorted(map(tuple, judge_urls(df, parse_rules(queries.RULES)).select("page_id", "host", "path", "rule", "verdict").collect()))
+    con = duckdb.connect()
+    con.register("pages", pa.table({"page_id": [r[0] for r in rows], "url": [r[1] for r in rows], "html": [r[2] for r in rows]}))
+    assert got == sorted(con.sql(f"SELECT page_id, host, path, rule, verdict FROM ({queries.ORACLE_SQL['op6_url_equivalence']})").fetchall())
+    near = {u: {u} for u in urls}
+    for u, (_, to) in zip(urls, made):
+        for t in to:
+            near[u].add(t)
+            near[t].add(u)
+    rule = {urls[r[0]]: r[3] for r in got}
+    decided = 0
+    for k, _, _, own, verdict in got:
+        seen, todo = set(), [urls[k]]
+        while todo:
+            if (u := todo.pop()) not in seen:
+                seen.add(u)
+                todo += near[u]
+        allowed, blocked = ({u for u in seen if rule[u] in names} for names in (("example.net/en/", "org/fr/"), ("net/", "example.com/de/")))
+        if own is None:
+            assert verdict == ("block" if blocked and not allowed else "allow")
+            decided += verdict == "block"
+    assert decided > 5
 
 
 def test_op6_relative_targets(spark):

@@ -456,6 +456,14 @@ def test_many_rows_of_one_id(spark, texts):
     assert Counter((r.doc_id, r.edited_sha256) for r in fingerprint_edits(df).collect()) == want
 
 
+def test_edits_with_ids_that_are_equal_as_doubles(spark):
+    """Ids from 2**60 on, a distance of one apart: the next document is that of the next id, however ranges are cut."""
+    rng = random.Random(60)
+    rows = [(2**60 + k, "".join(rng.choice("abcdef ") for _ in range(40))) for k in range(300)]
+    got = {r.doc_id: r.edited_sha256 for r in fingerprint_edits(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)).collect()}
+    assert got == {i: hashlib.sha256(edit(t, rows[(k + 1) % 300][1]).encode()).hexdigest() for k, (i, t) in enumerate(rows)}
+
+
 # --- 7: token files
 def test_blocks():
     rng = np.random.default_rng(0)
