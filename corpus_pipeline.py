@@ -64,8 +64,16 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each one's result written to the shared folder and read again."""
+    """The stages over ``documents``, each one's result written to the shared folder and read again.
+
+    A result is removed once the next one is written; only the last, which the returned table reads, stays.
+    """
     docs = documents(spark, sf_dir)
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
@@ -73,4 +81,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             out.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                remove(spark, f"{folder}/{k - 1}")
     return out
