@@ -16,7 +16,7 @@ _ROMAN = f"""array_join(transform(split(s, ''), c -> CASE WHEN ascii(c) BETWEEN
     element_at({_array(INITIALS)}, CAST((ascii(c) - 44032) div 588 + 1 AS INT)), element_at({_array(VOWELS)}, CAST(((ascii(c) - 44032) % 588) div 28 + 1 AS INT)), element_at({_array(FINALS)}, (ascii(c) - 44032) % 28 + 1))
     ELSE lower(c) END), '')"""
 _WORDS = f"filter(split(trim(regexp_replace(@, r'{WS}', ' ')), ' '), w -> w <> '')"
-_CODE = "decode(unhex(lpad(hex(array_position(p.v, w) + CASE WHEN array_position(p.v, w) > 52992 THEN 4352 ELSE 2048 END), 4, '0')), 'UTF-16BE')"
+_CODE = "decode(unhex(lpad(hex(array_position(p.v, w) + 65536), 8, '0')), 'UTF-32')"
 _WER = f"""transform(array(named_struct('r', {_WORDS.replace('@', 'reference')}, 'h', {_WORDS.replace('@', 'hypothesis')},
     'v', array_distinct(concat({_WORDS.replace('@', 'reference')}, {_WORDS.replace('@', 'hypothesis')})))),
     p -> try_divide(CAST(levenshtein(array_join(transform(p.r, w -> {_CODE}), ''), array_join(transform(p.h, w -> {_CODE}), '')) AS DOUBLE), size(p.r)))[0]"""

@@ -136,7 +136,7 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
     """Word-level edit distance of two word arrays.
 
     Each different word of a pair gets a character of its own, then the built-in character distance does the
-    rest; for up to 40,000 different words a pair.
+    rest; for up to a million different words a pair, beyond which it is an error.
     """
     # a one-element array names the pair's parts, so that they are worked out once and not for every word
     pair = F.struct(reference.alias("r"), hypothesis.alias("h"), F.array_distinct(F.concat(reference, hypothesis)).alias("all"))
@@ -144,8 +144,8 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
     def text(words: Column, known: Column) -> Column:
         def one(w: Column) -> Column:
             at = F.array_position(known, w)
-            point = at + F.when(at > 0xCF00, 0x1100).otherwise(0x800)  # from U+0800 on, stepping over the surrogates
-            return F.decode(F.unhex(F.lpad(F.hex(point), 4, "0")), "UTF-16BE")
+            # from U+10000 on, so that none is a surrogate or a byte order mark
+            return F.decode(F.unhex(F.lpad(F.hex(at + 0x10000), 8, "0")), "UTF-32")
 
         return F.array_join(F.transform(words, one), "")
 

@@ -1,6 +1,8 @@
 """Hand-derived values for the scalar functions, in column and in Python form."""
 
 import json
+import random
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +127,24 @@ def test_validity():
 
 def test_flat_text():
     assert udfs.flat_text({"a": None, "b": [1, "", {"c": " x "}]}) == "b: 1\nc: x" and udfs.flat_text(None) == "" and udfs.flat_text(True) == "True"
+
+
+def test_similarity_is_that_of_difflib():
+    rng = random.Random(1)
+    for _ in range(3000):
+        letters = rng.choice(["ab", "abc", "abcdefgh ", "abcdefghijklmnopqrstuvwxyz "])
+        make = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(0, rng.choice([5, 60, 260, 400]))))  # noqa: B023, E731
+        a, b = make(), make()
+        if rng.random() < 0.5 and a:
+            b = "".join(rng.choice(letters) if rng.random() < 0.1 else c for c in a)
+        assert udfs.text_ratio(a, b) == SequenceMatcher(None, a, b).ratio()
+        x, y = udfs.Comparable(a), udfs.Comparable(b)
+        assert y.ratio_of(x) == SequenceMatcher(None, x.roman, y.roman).ratio()
+
+
+def test_word_edits_beyond_one_code_unit(spark):
+    """65,536 different words and one more: its code must not fall on that of another word."""
+    words = F.transform(F.sequence(F.lit(1), F.lit(65_536)), lambda k: F.concat(F.lit("w"), k.cast("string")))
+    one = lambda *x: F.array(*map(F.lit, x))
+    got = spark.range(1).select(tx.word_edits(words, one("new")).alias("a"), tx.word_edits(words, one("w65000", "new")).alias("b"), tx.word_edits(one(), one("x")).alias("c")).first()
+    assert tuple(got) == (65_536, 65_535, 1)
