@@ -9,7 +9,7 @@ from corpusloom.functions import udfs
 from corpusloom.functions.text import get_any_case
 
 SOURCE_KEYS = ("qa_id", "domain", "q_type")
-DEFAULT_INSTRUCTION = "Turn the patient's statement into a structured note."
+DEFAULT_INSTRUCTION = "다음 환자의 진술을 바탕으로 핵심 증상을 파악하고, 의사가 보기 편한 구조화된 의료 문진표를 작성하세요."
 
 
 def prompts(items: DataFrame, system: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import DEFAULT, Profile
 from corpusloom.functions.text import stable_round
 from corpusloom.operators.ranking import with_position, with_position_in
+from corpusloom.storage import checkpointed
 
 SPLITS = ("train", "dev", "test")
 
@@ -49,10 +50,10 @@ def speaker_stats(segments: DataFrame, unknown: str = DEFAULT.unknown_severity,
 
 
 def bin_label(index: Column, bins: int) -> Column:
-    names = {1: ["all"], 2: ["lower", "higher"], 3: ["lower", "mid", "higher"]}.get(bins)
+    names = {1: ["all"], 2: ["lower_proxy", "higher_proxy"], 3: ["lower_proxy", "mid_proxy", "higher_proxy"]}.get(bins)
     if names:
         return F.element_at(F.array(*map(F.lit, names)), index.cast("int") + 1)
-    return F.format_string("bin_%02d", (index + 1).cast("int"))
+    return F.format_string("bin_%02d", index.cast("int"))
 
 
 def bin_index(at: Column, total: Column, bins: int) -> Column:
@@ -115,13 +116,14 @@ def fill_empty_splits(speakers: DataFrame) -> DataFrame:
 
 def build_split(segments: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
     """Speaker rows with bins and split, from filtered segments with coverage."""
-    stats = severity_bins(speaker_stats(segments, profile.unknown_severity), profile.severity_bins)
+    # the statistics are few rows at the end of a long plan, which range bounds and rows would each run
+    stats = severity_bins(checkpointed(speaker_stats(segments, profile.unknown_severity)), profile.severity_bins)
     return fill_empty_splits(split_speakers(stats, profile)).drop("clm__md5")
 
 
-def training_rows(segments: DataFrame, speakers: DataFrame) -> DataFrame:
-    """Segments with their speaker's split, proxy, bin and resolved severity."""
-    resolved = F.when(F.col("actual_severity").isin("", "unknown"), F.col("severity_bucket")).otherwise(F.col("actual_severity"))
+def training_rows(segments: DataFrame, speakers: DataFrame, profile: Profile = DEFAULT) -> DataFrame:
+    """Segments with their speaker's split, proxy, bin and resolved severity: the bin where the severity isn't known."""
+    resolved = F.when(F.col("actual_severity").isin("", profile.unknown_severity), F.col("severity_bucket")).otherwise(F.col("actual_severity"))
     known = speakers.select("speaker_id", "split", "severity_proxy", "severity_bucket", resolved.alias("resolved_severity"))
     return segments.join(known, "speaker_id")
 

@@ -60,7 +60,7 @@ STATS = f"""{SEG}, per AS (
     FROM per LEFT JOIN sev USING (speaker_id)
 )"""
 SPLIT = f"""{STATS}, binned AS (
-    SELECT *, ['lower', 'mid', 'higher'][least((row_number() OVER (ORDER BY severity_proxy, speaker_id) - 1) * 3 // count(*) OVER (), 2) + 1] AS severity_bucket FROM stats
+    SELECT *, ['lower_proxy', 'mid_proxy', 'higher_proxy'][least((row_number() OVER (ORDER BY severity_proxy, speaker_id) - 1) * 3 // count(*) OVER (), 2) + 1] AS severity_bucket FROM stats
 ), keyed AS (
     SELECT *, CASE WHEN actual_severity = 'unknown' THEN severity_bucket ELSE actual_severity END AS severity_key, category_code AS category_key FROM binned
 ), placed AS (
@@ -134,8 +134,8 @@ _BINS = "least(({p}) * {k} // n, {k} - 1) + 1"
 
 
 @query(f"""WITH {STATS}, p AS (SELECT speaker_id, row_number() OVER (ORDER BY severity_proxy, speaker_id) - 1 AS p, count(*) OVER () AS n FROM stats)
-SELECT speaker_id, 'all' AS bins_1, ['lower', 'higher'][{_BINS.format(p='p', k=2)}] AS bins_2, ['lower', 'mid', 'higher'][{_BINS.format(p='p', k=3)}] AS bins_3,
-    format('bin_{{:02d}}', {_BINS.format(p='p', k=4)}) AS bins_4, format('bin_{{:02d}}', {_BINS.format(p='p', k=5)}) AS bins_5 FROM p""")
+SELECT speaker_id, 'all' AS bins_1, ['lower_proxy', 'higher_proxy'][{_BINS.format(p='p', k=2)}] AS bins_2, ['lower_proxy', 'mid_proxy', 'higher_proxy'][{_BINS.format(p='p', k=3)}] AS bins_3,
+    format('bin_{{:02d}}', {_BINS.format(p='p', k=4)} - 1) AS bins_4, format('bin_{{:02d}}', {_BINS.format(p='p', k=5)} - 1) AS bins_5 FROM p""")
 def severity_bins_k(spark, sf_dir):
     rows = split.speaker_stats(filtered(spark, sf_dir)).select("speaker_id", "severity_proxy")
     placed = split.with_position(rows, ["severity_proxy", "speaker_id"], "at", "n")

@@ -48,8 +48,8 @@ def test_split_counts(spark):
 def test_bins(spark):
     df = spark.createDataFrame([(k, 0.5 if k < 2 else k / 10) for k in range(6)], "speaker_id int, severity_proxy double")
     got = {k: [r.severity_bucket for r in split.severity_bins(df, k).orderBy("severity_proxy", "speaker_id").collect()] for k in (1, 2, 3, 4)}
-    assert got[1] == ["all"] * 6 and got[2] == ["lower"] * 3 + ["higher"] * 3 and got[3] == ["lower"] * 2 + ["mid"] * 2 + ["higher"] * 2
-    assert got[4] == ["bin_01", "bin_01", "bin_02", "bin_03", "bin_03", "bin_04"]
+    assert got[1] == ["all"] * 6 and got[2] == ["lower_proxy"] * 3 + ["higher_proxy"] * 3 and got[3] == ["lower_proxy"] * 2 + ["mid_proxy"] * 2 + ["higher_proxy"] * 2
+    assert got[4] == ["bin_00", "bin_00", "bin_01", "bin_02", "bin_02", "bin_03"]
 
 
 def test_split_is_disjoint_and_sized(spark, small):
@@ -383,3 +383,10 @@ def test_augmentation(spark):
     assert good == {"instruction": "write it", "input": "long enough", "output": "CC: a\nPI: b\nA&P: c", "source_qa_id": "q0"}
     assert augment.rejected(done).columns == ["reason", "source_qa_id", "source_domain", "source_q_type", "generated_text"]
     assert [r[0] for r in df.select(augment.valid_strict(F.col("generated_text"))).collect()] == [True, False, False, False]
+
+
+def test_another_name_for_unknown_severity(spark):
+    profile = DEFAULT.with_options(unknown_severity="n/a")
+    speakers = spark.createDataFrame([("s", "train", 0.1, "mid_proxy", "n/a"), ("t", "dev", 0.2, "lower_proxy", "unknown")], "speaker_id string, split string, severity_proxy double, severity_bucket string, actual_severity string")
+    rows = spark.createDataFrame([("s",), ("t",)], "speaker_id string")
+    assert {r.speaker_id: r.resolved_severity for r in split.training_rows(rows, speakers, profile).collect()} == {"s": "mid_proxy", "t": "unknown"}

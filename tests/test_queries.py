@@ -1,11 +1,13 @@
 """Every query against its SQL on the smallest tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from corpusloom.operators import quality
 from corpusloom.plans.registry import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -48,4 +50,13 @@ def test_built_in_plans_have_no_python(spark, small):
         plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan, name
     plan = QUERIES["segment_filter"](spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(l_quantity)" in plan or "l_extendedprice" in plan
+    scan = next(x for x in re.findall(r"FileScan parquet \[([^\]]*)\].*?PushedFilters: \[(.*?)\], ReadSchema", plan) if "l_extendedprice" in x[0])
+    assert "l_shipmode" not in scan[0] and "l_tax" not in scan[0] and "IsNotNull(l_quantity)" in scan[1]
+
+
+def test_limits_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([("a", 0.5, 2.0)], "source_audio_path string, score double, duration_sec double").write.parquet(f"{tmp_path}/seg")
+    report = spark.createDataFrame([("a", 0.9)], "source_audio_path string, coverage_ratio double")
+    rows = quality.filter_segments(spark.read.parquet(f"{tmp_path}/seg"), report)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == 1 and "GreaterThanOrEqual(score,0.35)" in plan and "LessThanOrEqual(duration_sec,30.0)" in plan
