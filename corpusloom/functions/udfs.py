@@ -127,11 +127,8 @@ def sequence_score(asr: Comparable, ref: Comparable) -> float:
     return 0.8 * ref.ratio_of(asr) + 0.2 * common
 
 
-def group_score(asr: Comparable, n_words: int, seconds: float, ref: Comparable, enough: float = float("-inf")) -> float:
-    """A quarter by text, the rest by numbers of words and characters and by duration at 7 characters a second.
-
-    Where the score can't reach ``enough``, the texts aren't compared and a bound below it is returned.
-    """
+def group_score(asr: Comparable, n_words: int, seconds: float, ref: Comparable, by_text=sequence_score) -> float:
+    """A quarter by text, the rest by numbers of words and characters and by duration at 7 characters a second."""
 
     def close(x, y):
         return 1.0 - min(abs(x - y) / y, 1.0)
@@ -141,10 +138,7 @@ def group_score(asr: Comparable, n_words: int, seconds: float, ref: Comparable,
     off = abs(max(0.0, seconds) - expected) / (expected if expected > 1.0 else 1.0)
     lasting = 1.0 - min(off, 1.0)
     by_words, by_chars = close(n_words or max(1, asr.plain_words), max(1, ref.plain_words)), close(max(1, len(asr.roman)), chars)
-    bound = 0.25 * text_bound(asr, ref) + 0.35 * by_words + 0.20 * by_chars + 0.20 * lasting
-    if bound + 1e-9 < enough:
-        return bound
-    return 0.25 * sequence_score(asr, ref) + 0.35 * by_words + 0.20 * by_chars + 0.20 * lasting
+    return 0.25 * by_text(asr, ref) + 0.35 * by_words + 0.20 * by_chars + 0.20 * lasting
 
 
 def text_bound(asr: Comparable, ref: Comparable) -> float:

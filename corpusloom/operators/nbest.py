@@ -25,6 +25,9 @@ def select_rows(indexed: DataFrame, limit: int = 0, start: int = 0, end: int | N
 
 def choose_records(records: DataFrame, order: list[str] | None, limit: int = 0, start: int = 0) -> DataFrame:
     """Offset and limit in an order (0: no limit; negative starts count as 0)."""
+    if start > 0 and limit <= 0 and order:
+        # an offset alone would bring all rows through one task
+        return with_position(records, order, "clm__at").where(F.col("clm__at") >= start).drop("clm__at")
     out = records.orderBy(*order) if order else records
     out = out.offset(start) if start > 0 else out
     return out.limit(limit) if limit > 0 else out
@@ -35,6 +38,21 @@ def for_locality(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartitionByRange(parts, "feature_shard_path").sortWithinPartitions("feature_shard_path", "feature_index_in_shard", "manifest_index")
 
 
+def with_features(rows: DataFrame, features: DataFrame) -> DataFrame:
+    """Rows with the column ``features`` of their place in a shard; those without a shard, or that it lacks, have null.
+
+    ``features``: feature_shard_path, feature_index_in_shard, features. Each shard is read once, by the tasks that scan it, instead of being
+    copied to and kept open by those that want its rows.
+    """
+    return rows.join(features.select("feature_shard_path", "feature_index_in_shard", "features"), ["feature_shard_path", "feature_index_in_shard"], "left")
+
+
+def parameter_counts(parameters: DataFrame) -> DataFrame:
+    """One row from (name, n, trainable): total, trainable and the trainable percentage, null without parameters."""
+    total, open_ = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("trainable"), F.col("n"))), F.lit(0))
+    return parameters.agg(total.alias("total_params"), open_.alias("trainable_params")).withColumn("trainable_percent", F.round(F.try_divide(100.0 * F.col("trainable_params"), F.col("total_params")), 4))
+
+
 def not_done(rows: DataFrame, done: DataFrame, key: str = "manifest_index") -> DataFrame:
     return rows.join(done.select(key).distinct(), key, "left_anti")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -14,23 +13,10 @@ from corpusloom.functions import udfs
 from corpusloom.functions.text import stable_round
 from corpusloom.operators import align, augment, extract, manifest, metrics, nbest, quality, split
 from corpusloom.plans import fixtures as fx
+from corpusloom.plans.catalog import ORACLE_SQL, QUERIES, query  # noqa: F401
 from corpusloom.plans.fixtures import SEG, TURNS, WORDS, table
 from corpusloom.storage import shared_folder
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = re.sub(r"\bSR\(((?:[^()]|\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\))*), (\d)\)", r"round(round(\1, 9) + 1e-9, \2)", sql)
-        return f
-
-    return add
-
-
 def filtered(spark, sf_dir, profile=DEFAULT) -> DataFrame:
     return quality.filter_segments(fx.segments(spark, sf_dir), fx.report(spark, sf_dir), profile)
 
@@ -559,3 +545,6 @@ def stream_windows(spark, sf_dir):
 
     rows = windowed_counts(table(spark, sf_dir, "events"), "ts", "event_type", "1 hour", "10 minutes")
     return rows.select(F.col("window.start").alias("window_start"), "event_type", "n")
+
+
+from corpusloom.plans import roundtrips  # noqa: E402, F401

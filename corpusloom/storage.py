@@ -1,8 +1,9 @@
-"""The folder that executors share, and cutting lineage in it."""
+"""The folder that executors share, cutting lineage in it, and small files on any file system that Spark knows."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +33,38 @@ def spread(scan: DataFrame) -> DataFrame:
     cores = scan.sparkSession.sparkContext.defaultParallelism
     pieces = scan._jdf.queryExecution().toRdd().getNumPartitions()
     return scan.repartition(cores) if pieces < cores else scan
+
+
+def _hadoop(uri: str):
+    """The JVM's gateway, the file system of a path and the path in it."""
+    spark = SparkSession.active()
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    return jvm, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(uri: str) -> bool:
+    _, fs, path = _hadoop(uri)
+    return fs.exists(path)
+
+
+def write_bytes(uri: str, data: bytes) -> None:
+    """A small file, whole or not at all: it is written under another name and moved over the one that may be there."""
+    jvm, fs, path = _hadoop(uri)
+    draft = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(data))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = SparkSession.active().sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), fs.getConf()).rename(fs.makeQualified(draft), fs.makeQualified(path), how)
+
+
+def read_bytes(uri: str) -> bytes:
+    jvm, fs, path = _hadoop(uri)
+    source = fs.open(path)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(source))
+    finally:
+        source.close()

@@ -156,6 +156,66 @@ def test_alignment_is_optimal():
         assert sum(s.score for s in steps) == pytest.approx(brute_best(chunks, refs, DEFAULT))
 
 
+def plain_steps(chunks, sentences, profile):
+    """The program without any bound: every text compared, offers made cell by cell, the first of equal ones kept."""
+    n, m, best, came = len(chunks), len(sentences), {(0, 0): 0.0}, {}
+
+    def offer(to, value, step, origin):
+        if to not in best or value > best[to]:
+            best[to], came[to] = value, (origin, step)
+
+    for i in range(n + 1):
+        for j in range(m + 1):
+            here = best[i, j]
+            if i < n:
+                offer((i + 1, j), here + profile.align_skip_chunk, ("skip_chunk", i, None, 0), (i, j))
+            if j < m:
+                offer((i, j + 1), here + profile.align_skip_sentence, ("skip_sentence", None, j, 1), (i, j))
+            for g in range(1, min(profile.align_group, m - j) + 1) if i < n else ():
+                score = chunks[i].score(Comparable(" ".join(sentences[j : j + g])))
+                if score >= profile.align_min_score:
+                    offer((i + 1, j + g), here + score, ("match", i, j, g), (i, j))
+    path, at = [], (n, m)
+    while at in came:
+        at, step = came[at]
+        path.append(step)
+    return path[::-1]
+
+
+def test_alignment_steps_without_bounds():
+    """Bounds and the order of comparison change no step, ties included."""
+    rng = random.Random(4)
+    for case in range(60):
+        vocabulary = rng.choice(["a b", "ab cd ef gh ij kl", "the cat sat on a mat while it rained all day long", "é ê 1 가나"]).split()
+        text = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, rng.choice([2, 8, 60]))))  # noqa: B023, E731
+        refs = [text() for _ in range(rng.randint(0, 9))]
+        heard = [rng.choice([*refs, text()]) for _ in range(rng.randint(0, 7))]
+        chunks = align.make_chunks((k * 3.0, k * 3.0 + rng.choice([0.5, 2.0, 9.0]), t, []) for k, t in enumerate(heard))
+        assert [(s.action, s.chunk, s.sentence, s.size) for s in align.align_steps(chunks, refs)] == plain_steps(chunks, refs, DEFAULT), case
+
+
+def test_golden_alignment():
+    """A file worked out by hand: seven characters a second, so durations fit; the middle chunk is noise, the third sentence isn't heard."""
+    said = ["abcd efgh.", "ijkl mnop.", "qrst uvwx yzab cdef ghij klmn opqr stuv.", "wxyz 1234."]
+    seconds = 9 / 7
+    word = lambda t, a, b: {"start": a, "end": b, "text": t}
+    heard = [
+        (0.0, seconds, "abcd efgh", [word("abcd", 0.0, 0.5), word("efgh", 0.6, 1.2)]),
+        (10.0, 10.0 + 19 / 7, "ijkl mnop wxyz 1234", [word("ijkl", 10.0, 10.4), word("mnop", 10.5, 11.0), word("wxyz", 11.5, 12.0), word("1234", 12.1, 12.6)]),
+    ]
+    rows = align.align_file("f", align.make_chunks(heard), [said[0], said[1], said[3]])
+    got = [(r["text"], r["asr_text"], r["start_sec"], r["end_sec"], r["score"], r["chunk_score"], r["source_segment_index"], r["sentence_count_in_group"]) for r in rows[:-1]]
+    assert got == [
+        ("abcd efgh.", "abcd efgh", 0.0, 1.286, 1.0, 1.0, 1, 1),
+        ("ijkl mnop.", "ijkl mnop", 10.0, 11.0, 0.9556, 1.0, 2, 2),  # a second for nine characters: 0.2 * (9 / 7 - 1) / (9 / 7) is lost
+        ("wxyz 1234.", "wxyz 1234", 11.5, 12.714, 0.9889, 1.0, 2, 2),
+    ]
+    assert (rows[-1]["coverage_ratio"], rows[-1]["matched_whisper_segments"], rows[-1]["skipped_reference_sentences"]) == (1.0, 2, 0)
+    # a sentence that nothing of what was heard is like costs its skip, and no more
+    steps = align.align_steps(align.make_chunks(heard[:1]), [said[0], said[2]])
+    assert [(s.action, s.size) for s in steps] == [("match", 1), ("skip_sentence", 1)]
+
+
 def test_time_shares():
     parts = align.by_text_length(1.0, 9.0, ["aa", "bbbbbb", ""])
     assert [round(b - a, 6) for a, b, _ in parts] == [round(8 * w / 9, 6) for w in (2, 6, 1)] and parts[-1][1] == 9.0
@@ -192,7 +252,7 @@ def test_align_tables(spark):
 
 def test_interval_join(spark):
     rng = random.Random(8)
-    make = lambda n: [(rng.choice("ab"), k, s := rng.uniform(-20, 40), s + rng.choice([0, 0.5, 3, 25])) for k in range(n)]
+    make = lambda n: [(rng.choice("ab"), k, s := rng.uniform(-20, 40), s + rng.choice([0, 0.5, 3, 25, 80, 1e4, -2])) for k in range(n)]
     left, right = make(40), make(40)
     df = lambda rows: spark.createDataFrame(rows, "k string, id int, start double, end double")
     got = [tuple(r) for r in align.interval_join(df(left), df(right), "k", 7.0).collect()]
@@ -260,7 +320,8 @@ def test_headers():
     assert files.wav_header(wav(1.5, 16000, 2, 2)) == (16000, 2, 2, 1.5)
     law = b"RIFF\0\0\0\0WAVEfmt " + struct.pack("<IHHIIHH", 16, 7, 1, 8000, 8000, 1, 8) + b"LIST" + struct.pack("<I", 3) + b"abc\0" + b"data" + struct.pack("<I", 4000)
     assert files.wav_header(law) == (8000, 1, 1, 0.5) and files.wav_header(b"RIFF") is None and files.wav_header(b"x" * 100) is None
-    assert files.wav_header(sinks.cut_wav(wav(2.0), 0.5, 9.0))[3] == 1.5 and files.wav_header(sinks.cut_wav(wav(2.0), 3.0, 4.0))[3] == 0.0
+    source = sinks.WavSource(io.BytesIO(wav(2.0)))
+    assert files.wav_header(source.cut(0.5, 9.0))[3] == 1.5 and source.cut(3.0, 4.0) is None and files.wav_header(source.cut(0.0, 0.25))[3] == 0.25
 
 
 def test_manifest_end_to_end(spark, tmp_path):
@@ -322,10 +383,18 @@ def test_sinks(spark, tmp_path):
     sinks.write_markdown(str(tmp_path / "s.md"), "T", {"a": 1, "b": {"c": 2}})
     assert sinks.first_summary(None, str(tmp_path / "x" / "m.jsonl"), str(tmp_path / "d" / "m.jsonl")) == {"가": 1} and "  - c: 2" in (tmp_path / "s.md").read_text()
     assert sinks.histogram(df.groupBy("ok").agg(F.count("*").alias("n")), "ok") == {False: 1, True: 1} and sinks.summary_of(df.limit(1))["ok"] is not None
-    segments = spark.createDataFrame([("s", "audio/1.wav", 0.0, 0.5), ("s", "audio/2.wav", 0.5, 9.0)], "source_audio_path string, audio_path string, start_sec double, end_sec double")
-    source = spark.createDataFrame([("s", bytearray(wav(1.0)))], "source_audio_path string, content binary")
-    assert sinks.write_wav_ranges(segments, source, str(tmp_path / "cut")).count() == 2
+    wavs = tmp_path / "원 천"
+    wavs.mkdir()
+    (wavs / "s.wav").write_bytes(wav(1.0))
+    (wavs / "broken.wav").write_bytes(b"RIFF....WAVEfmt ")
+    rows = [(0, "s.wav", "audio/0.wav", 0.5, 9.0), (1, "s.wav", "audio/1.wav", 0.0, 0.5), (2, "s.wav", "audio/2.wav", 3.0, 4.0), (3, "none.wav", "audio/3.wav", 0.0, 1.0), (4, "broken.wav", "audio/4.wav", 0.0, 1.0)]
+    segments = spark.createDataFrame([(k, f"{wavs}/{s}", t, a, b) for k, s, t, a, b in rows], "manifest_index bigint, source_audio_path string, audio_path string, start_sec double, end_sec double")
+    got = {r.manifest_index: r for r in sinks.write_wav_ranges(segments, str(tmp_path / "cut")).collect()}
+    assert [got[k].ok for k in range(5)] == [True, True, False, False, False] and got[0].size_bytes == got[1].size_bytes == 44 + 8000
+    assert [got[k].error.split(":")[0] for k in (2, 3, 4)] == ["empty_segment", "source_missing", "load_failed"]
     assert {r.duration_sec for r in files.read_audio_meta(spark, str(tmp_path / "cut")).collect()} == {0.5}
+    meta = {r.path.rpartition("/")[2]: r for r in files.read_audio_meta(spark, str(wavs)).collect()}
+    assert meta["s.wav"].duration_sec == 1.0 and meta["s.wav"].size_bytes == 16044 and meta["broken.wav"].sample_rate is None
 
 
 def test_stream_resumes(spark, tmp_path):
