@@ -23,6 +23,7 @@ gives no file and an empty result. A text's ids are held whole; a file is writte
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -180,7 +181,25 @@ class WordTokenizer:
             raise ValueError("the model has no single id for the mark between words")
         self.mark = mark[0]
 
+        # a run of these after letters is a piece of its own to the model, so such words are put together from two entries
+        pieces = lambda t: [x for x, _ in self.model.pre_tokenizer.pre_tokenize_str(t)] if self.model.pre_tokenizer else []
+        whole = pieces("ab")
+        self.tails = "".join(c for c in string.punctuation if len(whole) == 1 and pieces(f"ab{c}{c}") == [*whole, *pieces(c + c)] and len(pieces(c + c)) == 1)
+
     def _learn(self, new: list[str]) -> None:
+        """Put the words into the memo: letters and a tail of punctuation from their parts, others as the library encodes them.
+
+        Letters that in small letters aren't letters alone, as a capital I with a dot, might give a mark to the tail.
+        """
+        split = [(w, stem) for w in new if (stem := w.rstrip(self.tails)) != w and stem.isalpha() and stem.lower().isalpha()]
+        parts = dict.fromkeys(x for w, stem in split for x in (stem, w[len(stem) :]))
+        apart = {w for w, _ in split}
+        self._encode([w for w in dict.fromkeys([*parts, *(w for w in new if w not in apart)]) if w not in self.memo])
+        memo = self.memo
+        for w, stem in split:
+            memo[w] = memo[stem] + memo[w[len(stem) :]]
+
+    def _encode(self, new: list[str]) -> None:
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
             apart = [w for w in part if MARK in w]
