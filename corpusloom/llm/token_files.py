@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import string
 import struct
+import unicodedata
 import uuid
 import zlib
 from functools import lru_cache
@@ -155,6 +156,13 @@ def open_fs(uri: str):
 MARK = "\x01"
 
 
+#: The characters that stand for bytes in byte-level models: those that can be seen, and for the others what comes from U+0100 on.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = {b: chr(b) for b in _SEEN} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _SEEN)}
+#: Words in small letters of scripts in which models differ.
+SAMPLES = ["a", "the", "abcdefghijklmnop", "qzxj", "don", "été", "straße", "naïveté", "ñandú", "привет", "λόγος", "ありがとう", "中文", "한국어", "שלום", "ª", "ǆ"]
+
+
 class WordTokenizer:
     """The ids of a ``tokenizers`` model that lower-cases and drops white space.
 
@@ -181,6 +189,7 @@ class WordTokenizer:
             raise ValueError("the model has no single id for the mark between words")
         self.mark = mark[0]
 
+        self.straight = self._straight()
         # a run of these after letters is a piece of its own to the model, so such words are put together from two entries
         pieces = lambda t: [x for x, _ in self.model.pre_tokenizer.pre_tokenize_str(t)] if self.model.pre_tokenizer else []
         whole = pieces("ab")
@@ -199,7 +208,26 @@ class WordTokenizer:
         for w, stem in split:
             memo[w] = memo[stem] + memo[w[len(stem) :]]
 
+    def _piece(self, word: str) -> bytes:
+        """The ids of a word that the model leaves as it is and takes for one piece: its bytes, as characters, straight to the merges."""
+        return np.fromiter((t.id for t in self.model.model.tokenize(word.encode().decode("latin-1").translate(BYTE_SIGNS))), "<u4").tobytes()
+
+    def _straight(self) -> bool:
+        """Whether ``_piece`` gives what the library gives: for byte-level models that keep letters together, which samples of many scripts show."""
+        try:
+            return all(self._piece(w) == np.asarray(self.model.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in SAMPLES)
+        except Exception:  # a model of another kind; it says so in ways of its own
+            return False
+
     def _encode(self, new: list[str]) -> None:
+        if self.straight:
+            rest, memo, piece = [], self.memo, self._piece
+            for w in new:
+                if w.isalpha() and (w.isascii() and w.islower() or w == w.lower() and unicodedata.is_normalized("NFC", w)):
+                    memo[w] = piece(w)
+                else:
+                    rest.append(w)
+            new = rest
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
             apart = [w for w in part if MARK in w]
@@ -233,7 +261,8 @@ class WordTokenizer:
         n = size[index]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
-        ids = table[np.repeat(start[index] - (ends - n), n) + np.arange(total)]
+        kind = np.int32 if total < 2**31 else np.int64
+        ids = table[np.repeat((start[index] - (ends - n)).astype(kind), n) + np.arange(total, dtype=kind)]
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         return ids, np.concatenate([[0], ends])[offsets]
 

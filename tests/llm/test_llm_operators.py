@@ -498,7 +498,11 @@ def test_words_as_the_library_has_them(texts):
     rng = random.Random(1)
     letters = ["a", "B", "é", "é", "́", " ", "\n", "\t", "\x1c", " ", "　", "'s", "'", "1", "23", "!", "ß", "Σ", "İ", "‍", "😀", "中", "<|endoftext|>", "\r", "\x85", " ", "ﬁ", "가", "\x01", "ᄀ", "ᅡ"]
     odd = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 15))) for _ in range(3000)]
-    for batch in (list(texts.values()), odd, [""], [" "], []):
+    letters = ["a", "B", "é", "Σ", "İ", "ß", "ﬁ", "가", "ᄀ", "ᅡ", "中", "ǅ", "ª"]
+    tailed = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 4))) + "".join(rng.choice(string.punctuation) for _ in range(rng.randint(1, 3))) for _ in range(5000)]
+    assert tok.straight
+    alphabets = [x for k in range(0x20, 0x30000) if (c := chr(k)).isalpha() and (k < 0x3000 or k % 41 == 0) for x in (c, f"a{c}", f"{c}b.")]
+    for batch in (list(texts.values()), odd, tailed, [" ".join(tailed)], alphabets, [""], [" "], []):
         ids, at = tok.encode(pa.array(batch, pa.string()))
         got = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
         assert got == [tok.model.encode(t, add_special_tokens=False).ids for t in batch]
