@@ -208,13 +208,13 @@ _RANGES = """r AS (
 ), f AS (SELECT *, least(n, trunc(a * 8000)::BIGINT) AS first, least(n, trunc(b * 8000)::BIGINT) AS stop FROM r)"""
 
 
-def _ranges(spark, sf_dir) -> tuple[str, DataFrame]:
+def _ranges(spark, sf_dir, form: str = "wav") -> tuple[str, DataFrame]:
     """The folder of the ranges cut out of the recordings, and the table that writes them as it is read."""
     folder, key = _recordings(spark, sf_dir), F.col("c_custkey")
     start = (key % 7) / F.lit(40.0)
     path = F.concat(F.lit(folder + "/"), F.when(key % 9 == 0, F.lit("gone/")).otherwise(F.concat(F.lpad((key % 16).cast("string"), 2, "0"), F.lit("/"))), key.cast("string"), F.lit(".wav"))
-    segments = table(spark, sf_dir, "customer").select(key.alias("manifest_index"), path.alias("source_audio_path"), F.concat(F.lit("audio/"), key.cast("string"), F.lit(".wav")).alias("audio_path"), start.alias("start_sec"), (start + (key % 4) / F.lit(20.0)).alias("end_sec"))
-    return f"{folder}/cut", sinks.write_wav_ranges(segments, f"{folder}/cut")
+    segments = table(spark, sf_dir, "customer").select(key.alias("manifest_index"), path.alias("source_audio_path"), F.concat(F.lit("audio/"), key.cast("string"), F.lit(f".{form}")).alias("audio_path"), start.alias("start_sec"), (start + (key % 4) / F.lit(20.0)).alias("end_sec"))
+    return f"{folder}/cut", sinks.write_ranges(segments, f"{folder}/cut")
 
 
 @query(f"WITH {_RANGES} SELECT manifest_index, NOT gone AND stop > first AS ok, CASE WHEN gone THEN 'source_missing' WHEN stop <= first THEN 'empty_segment' END AS reason, CASE WHEN NOT gone AND stop > first THEN 44 + 2 * ch * (stop - first) END AS size_bytes FROM f")
@@ -232,6 +232,17 @@ def wav_range_files(spark, sf_dir):
     return files.read_audio_meta(spark, cut).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.round("duration_sec", 6).alias("duration_sec"))
 
 
+@query(f"WITH {_RANGES} SELECT manifest_index, NOT gone AND stop > first AS ok, CASE WHEN NOT gone AND stop > first THEN manifest_index || '.flac' END AS name, CASE WHEN NOT gone AND stop > first THEN 'fLaC' END AS mark FROM f")
+def flac_ranges(spark, sf_dir):
+    """The same ranges as FLAC files, listed after they were written."""
+    cut, rows = _ranges(spark, sf_dir, "flac")
+    done = rows.select("manifest_index", "ok", F.element_at(F.split("audio_path", "/"), -1).alias("name"))
+    done.write.parquet(f"{cut}-rows")  # writes the files
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.flac").load(cut)
+    there = there.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.substring("content", 1, 4).cast("string").alias("mark"))
+    return spark.read.parquet(f"{cut}-rows").join(there, "name", "left").select("manifest_index", "ok", "name", "mark")
+
+
 def _labels(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Label documents read from a tree, one per nation in one of two splits, and the listing of the recordings that exist."""
     root = scratch(spark, "labels")

@@ -1,10 +1,12 @@
 """Invariants and hand-derived values of the table operators."""
 
+import hashlib
 import io
 import random
 import struct
 import wave
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from corpusloom.operators import align, augment, extract, manifest, metrics, nbe
 from corpusloom.operators.ranking import with_position, with_position_in
 from corpusloom.plans import fixtures as fx
 from corpusloom.plugins import generate_candidates, generate_texts, merge_candidates, transcribe
-from corpusloom.sources import files, sinks
+from corpusloom.sources import files, flac, sinks
 from corpusloom.streaming.append import append_new, sessions, windowed_counts
 
 
@@ -389,7 +391,7 @@ def test_sinks(spark, tmp_path):
     (wavs / "broken.wav").write_bytes(b"RIFF....WAVEfmt ")
     rows = [(0, "s.wav", "audio/0.wav", 0.5, 9.0), (1, "s.wav", "audio/1.wav", 0.0, 0.5), (2, "s.wav", "audio/2.wav", 3.0, 4.0), (3, "none.wav", "audio/3.wav", 0.0, 1.0), (4, "broken.wav", "audio/4.wav", 0.0, 1.0)]
     segments = spark.createDataFrame([(k, f"{wavs}/{s}", t, a, b) for k, s, t, a, b in rows], "manifest_index bigint, source_audio_path string, audio_path string, start_sec double, end_sec double")
-    got = {r.manifest_index: r for r in sinks.write_wav_ranges(segments, str(tmp_path / "cut")).collect()}
+    got = {r.manifest_index: r for r in sinks.write_ranges(segments, str(tmp_path / "cut")).collect()}
     assert [got[k].ok for k in range(5)] == [True, True, False, False, False] and got[0].size_bytes == got[1].size_bytes == 44 + 8000
     assert [got[k].error.split(":")[0] for k in (2, 3, 4)] == ["empty_segment", "source_missing", "load_failed"]
     assert {r.duration_sec for r in files.read_audio_meta(spark, str(tmp_path / "cut")).collect()} == {0.5}
@@ -397,6 +399,76 @@ def test_sinks(spark, tmp_path):
     assert meta["s.wav"].duration_sec == 1.0 and meta["s.wav"].size_bytes == 16044 and meta["broken.wav"].sample_rate is None
 
 
+def read_flac(data):
+    """(rate, samples) of a FLAC stream of fixed predictors, by the format's description; checks all sums."""
+    assert data[:8] == b"fLaC\x80\x00\x00\x22"
+    rest = int.from_bytes(data[18:26], "big")
+    rate, channels, depth, n = rest >> 44, (rest >> 41 & 7) + 1, (rest >> 36 & 31) + 1, rest & (1 << 36) - 1
+    at, blocks, number = 42, [], 0
+    while at < len(data):
+        start = at
+        assert data[at : at + 2] == b"\xff\xf8" and data[at + 2] == 0x70 and data[at + 3] >> 4 == channels - 1
+        lead = data[at + 4]
+        more = 0 if lead < 0x80 else 8 - (lead ^ 0xFF).bit_length() - 1
+        value = lead if lead < 0x80 else lead & (0x3F >> more)
+        for b in data[at + 5 : at + 5 + more]:
+            value = value << 6 | b & 0x3F
+        assert value == number
+        at += 5 + more
+        size = int.from_bytes(data[at : at + 2], "big") + 1
+        assert flac.crc8(data[start : at + 2]) == data[at + 2]
+        bits = "".join(f"{b:08b}" for b in data[at + 3 :][: 2 * channels * size + 64])
+        p, block = 0, []
+
+        def take(k, sign=False):
+            nonlocal p
+            v = int(bits[p : p + k] or "0", 2)
+            p += k
+            return v - (1 << k) if sign and v >> (k - 1) else v
+
+        for _ in range(channels):
+            kind = take(8) >> 1
+            if kind == 0:
+                block.append([take(16, True)] * size)
+            elif kind == 1:
+                block.append([take(16, True) for _ in range(size)])
+            else:
+                order = kind & 7
+                x = [take(16, True) for _ in range(order)]
+                assert take(6) == 0
+                k = take(4)
+                while len(x) < size:
+                    q = bits.index("1", p) - p
+                    p += q + 1
+                    u = q << k | take(k)
+                    r = -(u + 1) // 2 if u & 1 else u // 2
+                    x.append(r + [0, *x[-1:], 2 * x[-1] - x[-2] if order == 2 else 0, 3 * x[-1] - 3 * x[-2] + x[-3] if order == 3 else 0, 4 * x[-1] - 6 * x[-2] + 4 * x[-3] - x[-4] if order == 4 else 0][order] if order else r)
+                block.append(x)
+        at += 3 + (p + 7) // 8
+        assert flac.crc16(data[start:at]) == int.from_bytes(data[at : at + 2], "big")
+        at, number = at + 2, number + 1
+        blocks.append(np.array(block, np.int16).T)
+    out = np.concatenate(blocks) if blocks else np.zeros((0, channels), np.int16)
+    assert len(out) == n and depth == 16 and hashlib.md5(out.astype("<i2").tobytes()).digest() == data[26:42]
+    return rate, out
+
+
+def test_flac_round_trip():
+    rng = np.random.default_rng(1)
+    t = np.arange(9000)
+    tone = (8000 * np.sin(t / 20) + rng.normal(0, 30, 9000)).astype(np.int16)
+    for x in (tone, tone[:1], tone[:3], np.zeros(5000, np.int16), rng.integers(-32768, 32768, 5000).astype(np.int16), np.array([-32768, 32767] * 50, np.int16), np.zeros(0, np.int16), (t * 3).astype(np.int16)):
+        for channels in (1, 2):
+            wide = np.stack([x, x[::-1]], axis=1)[:, :channels]
+            data = flac.encode_flac(wide, 16000)
+            rate, got = read_flac(data)
+            assert rate == 16000 and (got == wide).all()
+    assert len(flac.encode_flac(tone[:, None], 16000)) < 0.6 * 2 * len(tone) and len(flac.encode_flac(tone[:0, None], 8000)) == 42
+    assert flac._number(0x7F) == b"\x7f" and [flac._number(k) for k in (0x80, 0x7FF, 0x800, 0xFFFF, 0x10000)] == [chr(k).encode() for k in (0x80, 0x7FF, 0x800, 0xFFFF, 0x10000)]
+    source = sinks.WavSource(io.BytesIO(wav(1.0, 8000, 2)))
+    assert read_flac(source.cut(0.25, 0.75, "flac"))[1].shape == (4000, 2)
+
+
 def test_stream_resumes(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = spark.range(50).withColumn("k", F.col("id") % 20)
