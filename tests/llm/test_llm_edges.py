@@ -64,8 +64,11 @@ PER_ROW = {
 
 @pytest.mark.parametrize("name", PER_ROW)
 def test_one_row_per_row(docs, none, name):
-    out = PER_ROW[name](docs)
-    assert Counter(r.doc_id for r in out.collect()) == Counter(r[0] for r in rows())
+    got = [tuple(r.asDict().items()) for r in PER_ROW[name](docs).collect()]
+    assert Counter(r[0][1] for r in got) == Counter(r[0] for r in rows())
+    # neither other columns nor the rows' order and partitions change a value
+    plain = docs.select("doc_id", "text", "lang", "source").orderBy(queries.F.desc(queries.F.length("text"))).repartition(3)
+    assert Counter(tuple(r.asDict().items()) for r in PER_ROW[name](plain).collect()) == Counter(got)
     assert PER_ROW[name](none).count() == 0
 
 
@@ -194,6 +197,10 @@ def test_redaction_and_spans(docs):
 
 
 def test_pipeline_stages(spark, docs, none):
+    plain, wide = docs.select("doc_id", "text", "lang", "source", "n_chars"), docs
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        plain, wide = stage(spark, plain, ""), stage(spark, wide, "")
+        assert Counter(map(tuple, wide.select(plain.columns).collect())) == Counter(map(tuple, plain.collect())) and plain.count() > 0
     for start in (docs, none):
         now = start
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
