@@ -41,7 +41,9 @@ LEAST = 400
 #: Bytes of the grams whose least hash is a window's key; the first for all texts, the others for key groups that grew too large.
 GRAMS = (72, 136, 208, 280, 344)
 HOT_BYTES = 1_000_000
-SLICE = 1 << 20
+#: Bytes hashed at a time: the arrays, of eight bytes for each, should stay in a core's cache.
+SLICE = 1 << 16
+BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -81,8 +83,7 @@ def _fragments(texts, least, gram, wide):
         return
     ends = np.cumsum([len(t) for t in texts])
     starts = ends - [len(t) for t in texts]
-    flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64)
-    h = mix(rolling(mix(flat + np.uint64(1)), gram))
+    h = mix(rolling(BYTES[np.frombuffer(b"".join(texts), np.uint8)], gram))
     low = sliding_min(h, wide)
     valid = np.zeros(len(low) + 1, np.int8)
     ok = ends - starts >= least
