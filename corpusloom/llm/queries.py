@@ -138,7 +138,7 @@ def _fill_sql(parent: str, name: str, kids: str) -> str:
     cols = f"{parent}, {name}" if parent else name
     return f"""
 SELECT {cols}, least(cap, part + CASE WHEN short = 0 AND place <= total - given THEN 1 ELSE 0 END) AS total FROM (
-    SELECT *, sum(part) OVER ({by}) AS given, row_number() OVER ({by} ORDER BY short, {name}) AS place FROM (
+    SELECT *, sum(part) OVER ({by}) AS given, row_number() OVER ({by} ORDER BY short, md5({name}), {name}) AS place FROM (
         SELECT *, CASE WHEN short = 1 THEN cap ELSE w * free // free_w END AS part FROM (
             SELECT *, total - sum(CASE WHEN short = 1 THEN cap ELSE 0 END) OVER ({by}) AS free,
                 sum(CASE WHEN short = 1 THEN 0 ELSE w END) OVER ({by}) AS free_w FROM (

@@ -5,7 +5,7 @@ budget of tokens goes down the tree: each node's budget is split among its child
 child gets more than its subtree can supply (``max_epochs`` times its tokens). What a child can't take goes
 to its siblings, by weight; only what all siblings together can't take was withheld from their parent in
 the first place, and so went to the parent's siblings. Budgets are whole tokens; the odd tokens that division
-leaves go to the first children by name.
+leaves go to the first children by md5 of the name.
 
 A leaf with budget b and s tokens gives b div s whole epochs, and of the next epoch the documents in
 front, in the order of md5(seed:epoch:id): those whose middle token lies within b mod s, so that a leaf ends as near to its
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.llm.common import cut, fresh
-from corpusloom.operators.ranking import with_position, with_position_in
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = ("domain", "lang", "source")
@@ -69,10 +68,14 @@ def fill(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     df = df.withColumn("free_w", F.sum(F.when(F.col("short") == 1, 0).otherwise(F.col("ws"))).over(by).cast("decimal(19,0)"))
     df = df.withColumn("part", F.when(F.col("short") == 1, F.col("cap")).otherwise(F.expr("CAST(w AS decimal(19,0)) * free div free_w")))
     df = df.withColumn("odd", (big("total") - F.sum(big("part") * F.col("k")).over(by)).cast("bigint")).select(*parent, "cap", "w", "short", "part", "odd")
-    shared = children.join(df, [*parent, "cap", "w"])
-    # what division leaves goes to the first, by name, of those that could take more
-    takers = shared.where("short = 0 AND odd > 0").select(*parent, name, "odd")
-    takers = (with_position_in(takers, parent, [name], "place") if parent else with_position(takers, [name], "place")).where("place < odd").select(*parent, name, F.lit(1).alias("extra"))
+    # a row per child, read several times from here on
+    shared = cut(children.join(df, [*parent, "cap", "w"]))
+    # what division leaves goes to the first, by md5 of the name, of those that could take more; places come from ranges of the md5
+    takers = shared.where("short = 0 AND odd > 0").select(*parent, name, "odd", F.md5(name).alias("h")).withColumn("bin", F.substring("h", 1, RANGE_DIGITS))
+    ahead = F.sum("n").over(Window.partitionBy(*(parent or [F.lit(0)])).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    bins = takers.groupBy(*parent, "bin").agg(F.count("*").alias("n")).select(*parent, "bin", F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    place = F.col("ahead") + F.row_number().over(Window.partitionBy(*parent, "bin").orderBy("h", name))
+    takers = takers.join(bins, [*parent, "bin"]).withColumn("place", place).where("place <= odd").select(*parent, name, F.lit(1).alias("extra"))
     out = shared.join(takers, [*parent, name], "left")
     return out.select(*children.columns, F.least("cap", F.col("part") + F.coalesce("extra", F.lit(0))).alias("budget"))
 

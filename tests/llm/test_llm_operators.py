@@ -640,7 +640,7 @@ def brute_copies(rows, weights, seed, max_epochs, total):
             if not full:
                 parts = {k: w * left // all_w for k, (w, _) in open_.items()}
                 odd = left - sum(parts.values())
-                return out | {k: min(open_[k][1], parts[k] + (i < odd)) for i, k in enumerate(sorted(parts))}
+                return out | {k: min(open_[k][1], parts[k] + (i < odd)) for i, k in enumerate(sorted(parts, key=md5_first))}
             for k in full:
                 out[k] = open_.pop(k)[1]
         return out
@@ -663,6 +663,10 @@ def brute_copies(rows, weights, seed, max_epochs, total):
     return {k: v for k, v in budget.items() if len(k) == 3}, copies
 
 
+def md5_first(name):
+    return hashlib.md5(name.encode()).hexdigest(), name
+
+
 def n_words(t):
     return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
 
@@ -695,7 +699,7 @@ def test_mix_with_equal_rows_and_great_numbers(spark):
     assert sum(r.budget for r in fill(kids, [], "name").collect()) == 10**17
     many = spark.range(3000).selectExpr("concat('h', id) AS name", "10 AS cap", "1 AS w", "7001 AS total", "1 AS p").selectExpr("p", "name", "bigint(cap) cap", "bigint(w) w", "bigint(total) total")
     got = {r.name: r.budget for r in fill(many, ["p"], "name").collect()}
-    assert got == {f"h{k}": 2 + (i < 1001) for i, k in enumerate(sorted(range(3000), key=str))}
+    assert got == {k: 2 + (i < 1001) for i, k in enumerate(sorted((f"h{k}" for k in range(3000)), key=md5_first))}
 
 
 # --- 10: byte-level BPE
