@@ -57,6 +57,8 @@ def test_built_in_plans_have_no_python(spark, small):
 def test_limits_reach_the_scan(spark, tmp_path):
     spark.createDataFrame([("a", 0.5, 2.0)], "source_audio_path string, score double, duration_sec double").write.parquet(f"{tmp_path}/seg")
     report = spark.createDataFrame([("a", 0.9)], "source_audio_path string, coverage_ratio double")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     rows = quality.filter_segments(spark.read.parquet(f"{tmp_path}/seg"), report)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert rows.count() == 1 and "GreaterThanOrEqual(score,0.35)" in plan and "LessThanOrEqual(duration_sec,30.0)" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
