@@ -197,10 +197,10 @@ def test_redaction_and_spans(docs):
 
 
 def test_pipeline_stages(spark, docs, none):
-    plain, wide = docs.select("doc_id", "text", "lang", "source", "n_chars"), docs
-    for _, stage in corpus_pipeline.STAGES[:4]:
-        plain, wide = stage(spark, plain, ""), stage(spark, wide, "")
-        assert Counter(map(tuple, wide.select(plain.columns).collect())) == Counter(map(tuple, plain.collect())) and plain.count() > 0
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        plain, wide = stage(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), ""), stage(spark, docs, "")
+        got = plain.collect()
+        assert Counter(map(tuple, wide.select(plain.columns).collect())) == Counter(map(tuple, got)) and (got or not k)
     for start in (docs, none):
         now = start
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
