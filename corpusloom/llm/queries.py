@@ -16,6 +16,7 @@ from corpusloom.llm.source_mixing import choose
 from corpusloom.llm.substring_dedup import remove_repeats
 from corpusloom.llm.token_files import token_files
 from corpusloom.llm.url_equivalence import judge_urls, parse_rules
+from corpusloom.llm.word_passages import WIDTH
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
@@ -36,7 +37,7 @@ def domain_of_source():
 
 
 def op1_substring_dedup(spark, sf_dir):
-    return remove_repeats(documents(spark, sf_dir), with_kept=True)
+    return remove_repeats(documents(spark, sf_dir), with_kept=True, passage_words=WIDTH)
 
 
 def op2_dictionary_quality(spark, sf_dir):

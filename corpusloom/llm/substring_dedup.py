@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import cut, map_batches, text_or_empty
-from corpusloom.llm.minhash import mix, rolling
+from corpusloom.llm.minhash import mix, rolling, sliding_min
 from corpusloom.llm.run_index import MAX_BYTES, RunIndex
+from corpusloom.llm.word_passages import OPEN_END, passage_spans
 
 LEAST = 400
 #: Bytes of the grams whose least hash is a window's key; the first for all texts, the others for key groups that grew too large.
@@ -46,18 +47,6 @@ SLICE = 1 << 16
 BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
-def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
-    """The least of each ``w`` items in a row, by prefix and suffix minima of blocks of ``w``."""
-    n = len(h) - w + 1
-    blocks = -(-len(h) // w)
-    full = np.full(blocks * w, np.uint64(2**64 - 1))
-    full[: len(h)] = h
-    full = full.reshape(blocks, w)
-    ahead = np.minimum.accumulate(full, axis=1).reshape(-1)
-    back = np.minimum.accumulate(full[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
-
-
 def fragments(texts: list[bytes], least: int = LEAST, gram: int = GRAMS[0]):
     """Yield (text number, start, length, key, whether the key's string occurs in it twice) for all fragments of the texts."""
     wide = least - gram + 1
@@ -271,20 +260,27 @@ def merge_spans(packed: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, grams: tuple[int, ...] = GRAMS, hot_bytes: int = HOT_BYTES, with_kept: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, grams: tuple[int, ...] = GRAMS, hot_bytes: int = HOT_BYTES, with_kept: bool = False, passage_words: int | None = None) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, if ``with_kept``, ``text``: what is kept, without the
-    parts of characters that a removed span cut."""
+    parts of characters that a removed span cut. With ``passage_words`` also n_passages, n_passage_words: the maximal runs, and the words in them,
+    of windows of so many words that other documents have too, of however few bytes (``word_passages``). They are counted, not removed."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows, marks = repeated_spans(docs, id_col, text_col, least, grams, hot_bytes)
-    lists = marks.groupBy("a", "b").agg(F.collect_set(F.shiftleft(F.col("s").cast("bigint"), 31).bitwiseOR(F.col("e").cast("bigint"))).alias("x"))
+    packed = F.shiftleft(F.col("s").cast("bigint"), 31).bitwiseOR(F.col("e").cast("bigint"))
+    marks = marks.select("a", "b", packed.alias("x"))
+    if passage_words:
+        # spans of words are told from spans of bytes by their sign
+        marks = marks.unionByName(passage_spans(rows, passage_words).select("a", "b", F.bitwise_not(packed).alias("x")))
+    lists = marks.groupBy("a", "b").agg(F.collect_set("x").alias("x"))
     joined = rows.join(lists, ["a", "b"], "left").select("id", "text", "x")
 
     def run(batches):
         for ids, texts, packed in batches:
             out = {"id": ids, "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []} | ({"text": []} if with_kept else {})
+            out |= {"n_passages": [], "n_passage_words": []} if passage_words else {}
             for t, p in zip(texts, packed):
                 data = t.encode("utf-8", "surrogatepass")
-                spans, parts, at = merge_spans(p or []), [], 0
+                spans, parts, at = merge_spans([x for x in p or [] if x >= 0]), [], 0
                 for s, e in spans:
                     parts.append(data[at:s])
                     at = e
@@ -295,7 +291,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 if with_kept:
                     out["text"].append(kept.decode("utf-8", "ignore") if spans else t)
+                if passage_words:
+                    shared = merge_spans([~x for x in p or [] if x < 0])
+                    if shared and shared[-1][1] == OPEN_END:
+                        n = len(data.split())
+                        shared = [(0, n)] if n >= passage_words else []
+                    out["n_passages"].append(len(shared))
+                    out["n_passage_words"].append(sum(e - s for s, e in shared))
             yield out
 
-    schema = f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * with_kept
+    schema = f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * with_kept + ", n_passages bigint, n_passage_words bigint" * bool(passage_words)
     return map_batches(joined, ("id", "text", "x"), schema, run).withColumnRenamed("id", id_col)

@@ -20,7 +20,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusloom.llm import queries
+from corpusloom.llm import queries, substring_dedup, word_passages
 from corpusloom.llm.anchored_pii import BASE, RANK, find_spans, luhn, parse_iban, redact_text
 from corpusloom.llm.byte_bpe import load
 from corpusloom.llm.components import components
@@ -32,6 +32,7 @@ from corpusloom.llm.simhash import fingerprint, link, masks, near_pairs, simhash
 from corpusloom.llm.source_mixing import fill, mix
 from corpusloom.llm.substring_dedup import GRAMS, fragments, remove_repeats, sliding_min
 from corpusloom.llm.token_files import FileWriter, WordTokenizer, pack_block, read_file, unpack_block
+from corpusloom.llm.word_passages import passage_spans
 
 
 @pytest.fixture(scope="module")
@@ -134,6 +135,70 @@ def test_removal_on_documents(table, texts):
     assert {r[0]: tuple(r[1:]) for r in remove_repeats(table).collect()} == want
 
 
+def brute_passages(data, width):
+    """(passages, words in them) of each text, by comparing all windows of words."""
+    words, rows_of = [t.split() for t in data], defaultdict(set)
+    for k, w in enumerate(words):
+        for i in range(len(w) - width + 1):
+            rows_of[tuple(w[i : i + width])].add(k)
+    out = []
+    for w in words:
+        gone = np.zeros(len(w) + 1, np.int8)
+        runs, upto = 0, -1
+        for i in range(len(w) - width + 1):
+            if len(rows_of[tuple(w[i : i + width])]) > 1:
+                gone[i : i + width] = 1
+                runs, upto = runs + (i > upto), i + width
+        out.append((runs, int(gone.sum())))
+    return out
+
+
+def test_passages_of_short_words(spark):
+    """Over 50 words that two documents share, in fewer bytes than are removed; broken into lines elsewhere; 50 words only, or twice in one document."""
+    rng = random.Random(8)
+    say = lambda n: [rng.choice("abcdefgh") + str(rng.randint(0, 99)) for _ in range(n)]
+    p, q, r = say(55), say(50), say(60)
+    texts = [say(20) + p + say(9), p + say(30), say(9) + q + say(9), q + say(2), say(3) + r + say(5) + r, say(200)]
+    texts = ["\n".join(t) if k == 1 else " ".join(t) for k, t in enumerate(texts)]
+    assert len(" ".join(p)) < 400
+    got = remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), passage_words=51).collect()
+    assert [(r.n_removed, r.n_passages, r.n_passage_words) for r in sorted(got)] == [(0, 1, 55), (0, 1, 55), *[(0, 0, 0)] * 4]
+
+
+@pytest.mark.parametrize("width,gram,hot", [(51, 12, 2_000_000), (9, 3, 2_000_000), (9, 9, 30), (6, 2, 0), (4, 1, 40)])
+def test_passages(spark, monkeypatch, width, gram, hot):
+    monkeypatch.setattr(substring_dedup, "passage_spans", lambda rows, w: passage_spans(rows, w, gram, hot))
+    rng = random.Random(width)
+    say = lambda n, kinds=500: "".join(str(rng.randint(0, kinds)) + rng.choice([" ", "  ", "\n", "\t"]) for _ in range(n))
+    pool = [say(rng.randint(width // 2, 3 * width)) for _ in range(6)]
+    texts = ["".join(rng.choice([say(rng.randint(0, 40)), rng.choice(pool)]) for _ in range(rng.randint(0, 6))) for _ in range(80)]
+    texts += [say(3 * width, 1) for _ in range(5)] + ["7 " * 5 * width] * 2 + [None, "", " \n ", "é" * 300, "\x1c\u3000" * 200, texts[0], pool[0] * 3, say(width - 1), "é " * (width - 1)]
+    ids = list(range(len(texts)))
+    rows = [*zip(ids, texts), (500, "twins " * width), (500, "twins " * width), (501, "few é " * (width // 2)), (501, "few é " * (width // 2)), *[(502, pool[1] + "z " * 200)] * 3]
+    want = [(i, *x) for (i, _), x in zip(rows, brute_passages([(t or "").encode() for _, t in rows], width))]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), passage_words=width)
+    assert sorted((r.doc_id, r.n_passages, r.n_passage_words) for r in got.collect()) == sorted(want) and sum(x[1] > 0 for x in want) > 20
+
+
+def test_passages_on_documents(spark, texts):
+    got = queries.op1_substring_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: (r.n_passages, r.n_passage_words) for r in got} == dict(zip(texts, brute_passages([t.encode() for t in texts.values()], 51)))
+
+
+def test_words_of_long_texts(monkeypatch):
+    """Words and fragments of texts that are hashed in pieces and slices."""
+    rng = random.Random(9)
+    texts = [" ".join(str(rng.randint(0, 30)) for _ in range(n)).encode() for n in (0, 3, 500, 90, 0, 2, 800)] + [b"x" * 700 + b" y", b" " * 300]
+    whole = [c for _, c, _ in word_passages.parts([b" ".join(texts)])]
+    monkeypatch.setattr(word_passages, "SLICE", 64)
+    got = list(word_passages.parts(texts))
+    assert [len(t.split()) for t in texts] == [n for _, _, counts in got for n in counts] and [f for f, *_ in got] == sorted(f for f, *_ in got)
+    assert (np.concatenate([c for _, c, _ in got]) == np.concatenate(whole)).all()
+    for first, codes, counts in got:
+        tiles = [[w for text, at, n, *_ in word_passages.fragments(codes, counts, 9, 3) for t, a, z in zip(text, at, n) if t == k for w in range(a, a + z)] for k in range(len(counts))]
+        assert tiles == [list(range(max(0, n - 8))) for n in counts]
+
+
 def test_fragments_tile_windows():
     rng = random.Random(1)
     data = [bytes(rng.choice(b"abcd") for _ in range(n)) for n in (0, 39, 40, 41, 500, 3000)] + [b"a" * 900]
