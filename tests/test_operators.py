@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import re
 import struct
 import wave
 
@@ -11,6 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import storage
 from corpusloom.config import DEFAULT, PROFILES, STRICT
 from corpusloom.functions.udfs import Comparable
 from corpusloom.operators import align, augment, extract, manifest, metrics, nbest, quality, split
@@ -399,6 +401,30 @@ def test_sinks(spark, tmp_path):
     assert meta["s.wav"].duration_sec == 1.0 and meta["s.wav"].size_bytes == 16044 and meta["broken.wav"].sample_rate is None
 
 
+def test_listing_by_folders(spark, tmp_path):
+    """Files are listed by tasks and shared out evenly: a scan would make a task of each, with bytes as they are set here."""
+    for k in range(60):
+        p = tmp_path / "원 천" / f"d{k % 3}" / f"e{k % 2}=x" / f"{k}.wav"
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(wav(1.0))
+    for name in (".hidden.wav", "_left.wav", "a.txt", "_k=1.wav", "b.wave"):
+        (tmp_path / "원 천" / name).write_bytes(wav(1.0))
+    (tmp_path / "원 천" / "_temporary").mkdir()
+    (tmp_path / "원 천" / "_temporary" / "x.wav").write_bytes(b"")
+    (tmp_path / "원 천" / "link.wav").symlink_to(tmp_path / "nowhere")
+    names = lambda glob: {r.path for r in files.list_files(spark, str(tmp_path), glob).collect()}
+    real = {str(p) for p in tmp_path.rglob("*") if p.is_file() and not p.name.startswith((".", "_left", "x.wav"))}
+    assert names("*") == real and len(real) == 63
+    assert names("{1,2?}.wav") == {p for p in real if re.search("/(1|2.)[.]wav$", p)} and names("[^a-b]*.wav") == {p for p in real if p.endswith(".wav")}
+    assert [tuple(r) for r in files.list_files(spark, str(tmp_path / "원 천" / "b.wave")).collect()] == [(str(tmp_path / "원 천" / "b.wave"), 16044)]
+    with pytest.raises(Exception, match="none"):
+        files.list_files(spark, str(tmp_path / "none"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    meta = files.read_audio_meta(spark, str(tmp_path))
+    assert meta.rdd.getNumPartitions() == storage.task_count(spark) and meta.count() == 61 and {r.duration_sec for r in meta.collect()} == {1.0}
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def read_flac(data):
     """(rate, samples) of a FLAC stream of fixed predictors, by the format's description; checks all sums."""
     assert data[:8] == b"fLaC\x80\x00\x00\x22"
