@@ -425,6 +425,13 @@ def test_listing_by_folders(spark, tmp_path):
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_ranges_are_shared_out_by_number(spark, tmp_path):
+    (tmp_path / "s.wav").write_bytes(wav(1.0))
+    rows = spark.range(400).select(F.col("id").alias("manifest_index"), F.lit(f"{tmp_path}/s.wav").alias("source_audio_path"), F.concat(F.lit("a/"), F.col("id").cast("string"), F.lit(".wav")).alias("audio_path"), (F.col("id") / 1000).alias("start_sec"), F.lit(0.9).alias("end_sec"))
+    out = sinks.write_ranges(rows, f"{tmp_path}/cut")
+    assert out.rdd.getNumPartitions() == storage.task_count(spark) and out.where("ok").count() == 400 and len(list((tmp_path / "cut" / "a").iterdir())) == 400
+
+
 def read_flac(data):
     """(rate, samples) of a FLAC stream of fixed predictors, by the format's description; checks all sums."""
     assert data[:8] == b"fLaC\x80\x00\x00\x22"
