@@ -5,12 +5,16 @@ import io
 import random
 import re
 import struct
+import tracemalloc
 import wave
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom import storage
 from corpusloom.config import DEFAULT, PROFILES, STRICT
@@ -254,6 +258,21 @@ def test_align_tables(spark):
     assert {r.source_audio_path: r.coverage_ratio for r in report.collect()} == {"f": 1.0, "h": 0.0}
 
 
+def test_align_holds_a_file_at_a_time(spark):
+    """A batch of a few MB of words: as Python objects all at once it would take far more than is held at a time."""
+    text, n = "one two three four five six seven eight nine ten.", 40
+    words = [{"start": k / 10, "end": k / 10 + 0.05, "text": "w%d" % k} for k in range(500)]
+    chunk = {"chunk_index": 0, "start_sec": 0.0, "end_sec": 100.0, "text": text, "words": words}
+    one = pa.array([[chunk]])
+    batch = pa.RecordBatch.from_arrays([pa.array([f"f{k}" for k in range(n)]), pa.array([[text]] * n), pa.concat_arrays([one] * n)], names=["source_audio_path", "sentences", "chunks"])
+    schema = to_arrow_schema(T.StructType.fromDDL(align.SEGMENT_SCHEMA))
+    tracemalloc.start()
+    got = [b.num_rows for b in align.align_batches(iter([batch, batch]), schema)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(got) == 2 * 2 * n and max(got) <= align.ROWS_HELD + 1 and peak < 3e6, (got, peak)  # all at once: over 8 MB
+
+
 def test_interval_join(spark):
     rng = random.Random(8)
     make = lambda n: [(rng.choice("ab"), k, s := rng.uniform(-20, 40), s + rng.choice([0, 0.5, 3, 25, 80, 1e4, -2])) for k in range(n)]
