@@ -7,11 +7,14 @@ import re
 import unicodedata
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.functions.text import FINALS, INITIALS, MATCHABLE, VOWELS
 from corpusloom.schemas import table
@@ -241,14 +244,25 @@ def is_valid_record(data) -> bool:
     return True
 
 
-@F.pandas_udf(T.StringType())
-def asr_normalize(s: pd.Series) -> pd.Series:
-    return s.map(asr_normal, na_action=None)
+#: Texts that are Python objects at a time.
+AT_A_TIME = 64
 
 
-@F.pandas_udf(T.StringType())
-def asr_normalize_compact(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: asr_normal(t, True), na_action=None)
+def by_value(kind: T.DataType, name: str, one):
+    """An Arrow UDF of ``one`` on single values.
+
+    A batch of Arrow is limited in bytes, but its texts as Python objects and what is made of them take several times as many: a task
+    holds those of a few rows at a time.
+    """
+    arrow = to_arrow_type(kind)
+
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for a in arrays:
+            for k in range(0, len(a), AT_A_TIME):
+                yield pa.array([one(v) for v in a.slice(k, AT_A_TIME).to_pylist()], arrow)
+
+    run.__name__ = name
+    return F.arrow_udf(kind)(run)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -262,40 +276,31 @@ def group_match_score(asr: pd.Series, words: pd.Series, seconds: pd.Series, ref:
     return pd.Series([group_score(Comparable(a or ""), int(w or 0), float(s or 0.0), Comparable(r or "")) for a, w, s, r in rows], dtype="float64")
 
 
-@F.pandas_udf(table("value string, path string"))
-def severity_lookup(doc: pd.Series) -> pd.DataFrame:
-    def one(text):
-        try:
-            return find_severity(json.loads(text or "null"))
-        except json.JSONDecodeError:
-            return "", ""
-
-    return pd.DataFrame([one(t) for t in doc], columns=["value", "path"])
-
-
-@F.pandas_udf(table("status string, json string"))
-def json_salvage(text: pd.Series) -> pd.DataFrame:
-    """status: skip, json_parse_failed, validation_failed or valid; json: the object, where there is one."""
-
-    def one(t):
-        found = salvage_json(t)
-        if found == "SKIP":
-            return "skip", None
-        if found is None:
-            return "json_parse_failed", None
-        return "valid" if is_valid_record(found) else "validation_failed", json.dumps(found, ensure_ascii=False)
-
-    return pd.DataFrame([one(t) for t in text], columns=["status", "json"])
+def _severity(text):
+    try:
+        return find_severity(json.loads(text or "null"))
+    except json.JSONDecodeError:
+        return "", ""
 
 
-@F.pandas_udf(T.StringType())
-def flatten_json(doc: pd.Series) -> pd.Series:
-    return doc.map(lambda t: flat_text(json.loads(t)) if t else "", na_action=None)
+def _salvage(text):
+    found = salvage_json(text)
+    if found == "SKIP":
+        return "skip", None
+    if found is None:
+        return "json_parse_failed", None
+    return "valid" if is_valid_record(found) else "validation_failed", json.dumps(found, ensure_ascii=False)
 
 
-@F.pandas_udf(T.StringType())
-def section_output(doc: pd.Series) -> pd.Series:
-    return doc.map(lambda t: output_text(json.loads(t)) if t else "", na_action=None)
+asr_normalize = by_value(T.StringType(), "asr_normalize", asr_normal)
+asr_normalize_compact = by_value(T.StringType(), "asr_normalize_compact", lambda t: asr_normal(t, True))
+severity_lookup = by_value(table("value string, path string"), "severity_lookup", _severity)
+#: status: skip, json_parse_failed, validation_failed or valid; json: the object, where there is one.
+json_salvage = by_value(table("status string, json string"), "json_salvage", _salvage)
+#: The same for a column that is filtered by its status: a filter isn't moved below it, where it would run a second time.
+json_salvage_once = by_value(table("status string, json string"), "json_salvage", _salvage).asNondeterministic()
+flatten_json = by_value(T.StringType(), "flatten_json", lambda t: flat_text(json.loads(t)) if t else "")
+section_output = by_value(T.StringType(), "section_output", lambda t: output_text(json.loads(t)) if t else "")
 
 
 def register(spark: SparkSession) -> None:

@@ -39,7 +39,7 @@ def valid_strict(doc: Column) -> Column:
 
 def classify(outputs: DataFrame, text: str = "generated_text") -> DataFrame:
     """Adds status (valid, skip, json_parse_failed, validation_failed) and the salvaged object as ``record``."""
-    return outputs.withColumn("clm__r", udfs.json_salvage(F.col(text))).select("*", F.col("clm__r.status").alias("status"), F.col("clm__r.json").alias("record")).drop("clm__r")
+    return outputs.withColumn("clm__r", udfs.json_salvage_once(F.col(text))).select("*", F.col("clm__r.status").alias("status"), F.col("clm__r.json").alias("record")).drop("clm__r")
 
 
 def accepted(classified: DataFrame) -> DataFrame:

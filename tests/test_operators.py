@@ -622,3 +622,9 @@ def test_another_name_for_unknown_severity(spark):
     speakers = spark.createDataFrame([("s", "train", 0.1, "mid_proxy", "n/a"), ("t", "dev", 0.2, "lower_proxy", "unknown")], "speaker_id string, split string, severity_proxy double, severity_bucket string, actual_severity string")
     rows = spark.createDataFrame([("s",), ("t",)], "speaker_id string")
     assert {r.speaker_id: r.resolved_severity for r in split.training_rows(rows, speakers, profile).collect()} == {"s": "mid_proxy", "t": "unknown"}
+
+
+def test_salvage_runs_once(spark):
+    rows = augment.classify(spark.createDataFrame([('{"instruction": "write it", "input": "pain here", "cc": "a", "pi": "b", "ap": "c"}',), ("SKIP",), (None,)], "generated_text string"))
+    for out, n in ((augment.accepted(rows), 1), (augment.rejected(rows), 2)):
+        assert out._jdf.queryExecution().executedPlan().toString().count("[json_salvage(") == 1 and out.count() == n

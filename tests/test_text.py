@@ -2,10 +2,13 @@
 
 import json
 import random
+import tracemalloc
 from difflib import SequenceMatcher
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import text as tx
 from corpusloom.functions import udfs
@@ -148,3 +151,18 @@ def test_word_edits_beyond_one_code_unit(spark):
     one = lambda *x: F.array(*map(F.lit, x))
     got = spark.range(1).select(tx.word_edits(words, one("new")).alias("a"), tx.word_edits(words, one("w65000", "new")).alias("b"), tx.word_edits(one(), one("x")).alias("c")).first()
     assert tuple(got) == (65_536, 65_535, 1)
+
+
+def test_texts_are_python_objects_a_few_at_a_time(spark):
+    """A batch of 30 MB: all its texts and results at once take three times as many."""
+    udf = udfs.by_value(T.StringType(), "twice", lambda t: None if t is None else t + t)
+    batch = pa.array(["한글" * 2500] * 998 + [None, ""])
+    tracemalloc.start()
+    n, at_most, last = 0, 0, None
+    for out in udf.func(iter([batch, batch])):
+        n, at_most, last = n + len(out), max(at_most, len(out)), out
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 2000 and at_most <= udfs.AT_A_TIME and peak < 5e6 and last.to_pylist()[-2:] == [None, ""]
+    rows = spark.createDataFrame([(k, f"A{k}, b" if k % 3 else None) for k in range(500)], "k int, t string").coalesce(1)
+    assert {r.k: r.a for r in rows.select("k", udfs.asr_normalize("t").alias("a")).collect()} == {k: f"a{k} b" if k % 3 else "" for k in range(500)}
