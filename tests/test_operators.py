@@ -490,6 +490,54 @@ def test_numbered_segments(spark, small):
     assert rows.count() > 0 and rows.exceptAll(same).isEmpty() and same.exceptAll(rows).isEmpty()
 
 
+def test_reports_in_pieces(spark, tmp_path):
+    """Cuts at any byte, in strings, escapes, nested values and between them, give what a JSON parser gives; what can't be cut is read whole."""
+    from corpusloom.schemas import table
+    from corpusloom.sources import listed
+
+    rng = random.Random(5)
+    odd = ['"', "\\", "\\\"", "]}", ',{"files": [', "한글 é", "", "a\n\t/", "\\" * 70]
+    value = lambda k: {"audio_path": f"p{rng.randrange(40)}" + rng.choice(odd), "coverage_ratio": rng.choice([None, k / 8, -1e-7]), "x": [{"files": [k, [rng.choice(odd)]]}, rng.choice(odd)]}
+    rows = [value(k) if k % 17 else None for k in range(150)]
+    doc = {"n": [1, [2]], "a": {"files": [{"audio_path": "no"}]}, "not \"files": [{"audio_path": "no"}], "files": rows, "z": ["files", {"b": []}], "e": {}}
+    schema = table("audio_path string, coverage_ratio double")
+    want = sorted(map(repr, {(r or {}).get("audio_path"): ((r or {}).get("audio_path"), (r or {}).get("coverage_ratio")) for r in rows}.values()))
+    got = lambda path, **k: sorted(repr(tuple(r)) for r in files.read_report(spark, str(path), schema, **k).collect())
+    for n, (indent, ascii_only) in enumerate([(None, True), (3, False)]):
+        path = tmp_path / f"r{n}.json"
+        path.write_text(json.dumps(doc, indent=indent, ensure_ascii=ascii_only), "utf-8")
+        size = path.stat().st_size
+        for piece in (61, 997, size - 1, 1 << 22):
+            at = files.list_files(spark, str(path))
+            parts = listed.cut_list(spark, at, "files", piece)
+            assert parts is not None and [json.loads(r.text) for r in sorted(parts.collect(), key=lambda r: r["at"])] == rows, (n, piece)
+        assert got(path, piece=500) == want
+        calls = lambda f, **k: [f(str(path), s, min(37, size - s), **k) for s in range(0, size, 37)]
+        assert sum(c[0] for c in calls(listed.change)) % 2 == 0
+    text = json.dumps(doc)
+    (tmp_path / "r.json.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "wide.json").write_bytes(text.encode("utf-16"))
+    assert got(tmp_path / "r.json.gz") == want and got(tmp_path / "wide.json") == want
+    (tmp_path / "empty.json").write_text('{"files": [ ], "b": 1}')
+    assert got(tmp_path / "empty.json") == []
+    for n in (1, 2):
+        (tmp_path / "two").mkdir(exist_ok=True)
+        (tmp_path / "two" / f"{n}.json").write_text(json.dumps({"files": [{"audio_path": "f", "coverage_ratio": n / 2}]}) + "\n")
+    assert got(tmp_path / "two", piece=5) == ["('f', 1.0)"]
+    for broken in ('{"files": [{"audio_path": "a"}', '[{"files": [{"audio_path": "a"}]}]', '{"files": []} {"files": []}', '{"files": [], "files": []}', '{"\\u0066iles": []}'):
+        (tmp_path / "b.json").write_text(broken)
+        assert listed.cut_list(spark, files.list_files(spark, str(tmp_path / "b.json")), "files", 9) is None, broken
+
+
+def test_report_is_one_document(spark, tmp_path):
+    rows = spark.range(2000).repartition(5).select("id", F.concat(F.lit('"é'), F.col("id") % 7).alias("audio_path"), F.when(F.col("id") % 3 > 0, F.col("id") / 4).alias("coverage_ratio"))
+    for n in (2000, 1, 0):
+        sinks.write_report(rows.where(F.col("id") < n), f"{tmp_path}/r/{n}.json", ["id"], ["audio_path", "coverage_ratio"])
+        found = json.loads((tmp_path / "r" / f"{n}.json").read_text("utf-8"))["files"]
+        assert [(x["audio_path"], x.get("coverage_ratio")) for x in found] == [(f'"é{k % 7}', k / 4 if k % 3 else None) for k in range(n)]
+    assert sorted(p.name for p in (tmp_path / "r").iterdir() if not p.name.startswith(".")) == ["0.json", "1.json", "2000.json"]
+
+
 def read_flac(data):
     """(rate, samples) of a FLAC stream of fixed predictors, by the format's description; checks all sums."""
     assert data[:8] == b"fLaC\x80\x00\x00\x22"
